@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.flatten import INV, invoice_fields, item_fields, project_invoices, project_items
 from ledgerline.schemas import INVOICE_SIDE, ITEM_SIDE
+from ledgerline.functions import numeric_id
 from ledgerline.functions.dates import DEFAULT_TZ
 
 
@@ -83,13 +84,28 @@ def join_nested(flat: DataFrame, tz: str | None = DEFAULT_TZ, null_safe: bool =
     )
 
 
-def ids_are_unique(flat: DataFrame) -> bool:
-    """True when no non-NULL invoice id occurs in more than one record.
+def id_profile(flat: DataFrame):
+    """(row count, ids unique?, numeric max id) of a flat set in one job.
 
-    Reads only the id column; the aggregation shuffles ids, never items.
+    Reads only the id column.  Ids are grouped with a map-side partial count,
+    so a hot id collapses to one row per task before the shuffle; the second,
+    global aggregate merges one row per group.
     """
-    ids = flat.select(F.col(f"{INV}.id").alias("id")).where(F.col("id").isNotNull())
-    return ids.groupBy("id").count().where(F.col("count") > 1).isEmpty()
+    ids = flat.select(F.col(f"{INV}.id").alias("id"))
+    per_id = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    row = per_id.agg(
+        F.sum("n").alias("n_rows"),
+        F.max(F.when(F.col("id").isNotNull(), F.col("n"))).alias("max_n"),
+        F.max(numeric_id(F.col("id"))).alias("mark"),
+    ).first()
+    n_rows = int(row["n_rows"] or 0)
+    unique = row["max_n"] is None or row["max_n"] <= 1
+    return n_rows, unique, row["mark"]
+
+
+def ids_are_unique(flat: DataFrame) -> bool:
+    """True when no non-NULL invoice id occurs in more than one record."""
+    return id_profile(flat)[1]
 
 
 def join_flat(flat: DataFrame, tz: str | None = DEFAULT_TZ, null_safe: bool = False,

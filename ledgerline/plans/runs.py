@@ -6,16 +6,17 @@ One call of ``run_load`` is one run of the job:
 2. gate it: skip, no-op, full load or incremental load from the stored mark;
 3. scan the report once, explode it with the delta filter applied to the
    array, and write the flat set to the lake, partition ``run_id`` (SNK-03);
-4. stop if the run selected nothing (the control table stays as it is);
-5. join invoices and items from the lake and write the target, partition
-   ``run_id``: a full load replaces the table, an incremental load replaces
-   only its own partition, so a retried run never duplicates rows;
-6. take the new mark (numeric max id of this run, from the lake's id column);
-7. publish the next control snapshot with the close and the open together.
+4. profile the lake's id column in one job: row count, whether ids are
+   unique, and the new mark (numeric max id of this run); stop if the run
+   selected nothing (the control table stays as it is);
+5. join invoices and items from the lake (without a shuffle when ids are
+   unique) and write the target, partition ``run_id``: a full load replaces
+   the table, an incremental load replaces only its own partition, so a
+   retried run never duplicates rows;
+6. publish the next control snapshot with the close and the open together.
 
 The report is parsed once; everything after step 3 reads columnar Parquet,
-so the emptiness check, the join and the mark each scan only the columns
-they need.
+so the id profile scans one nested column and the join the rest.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline import schemas
 from ledgerline.functions import parse_watermark
 from ledgerline.functions.dates import DEFAULT_TZ
-from ledgerline.operators.flatten import explode_invoices_since, project_invoices
-from ledgerline.operators.join import join_flat
-from ledgerline.operators.metrics import collect_mark
+from ledgerline.operators.flatten import explode_invoices_since
+from ledgerline.operators.join import id_profile, join_flat
 from ledgerline.plans.control import (
     ACTION_DELTA, ACTION_FULL, ACTION_NOOP, ACTION_SKIP, ETL_NAME, RunHistory, with_action,
 )
@@ -89,16 +89,20 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     write_run_partition(flat.select(*[f.name for f in schemas.FLAT.fields]), s.lake_path, run_id)
     lake = read_run_partition(spark, s.lake_path, schemas.FLAT, run_id)
 
-    if lake.isEmpty():                # FLT-05: nothing new, history untouched
+    # One pass over the lake's id column: emptiness, id uniqueness, new mark.
+    n_rows, unique, mark = id_profile(lake)
+    if n_rows == 0:                   # FLT-05: nothing new, history untouched
         return RunOutcome(action, run_id, "empty", previous)
 
-    joined = join_flat(lake, s.tz, s.null_safe, s.join_strategy)
+    strategy = s.join_strategy
+    if strategy == "auto":
+        strategy = "nested" if unique else "shuffle"
+    joined = join_flat(lake, s.tz, s.null_safe, strategy)
     write_run_partition(conform(joined, schemas.INVOICE_DATA_DDL), s.target_path, run_id,
                         replace_all=(action == ACTION_FULL))
     if stop_after_write:
         return RunOutcome(action, run_id, "stopped", previous)
 
-    mark = collect_mark(project_invoices(lake, s.tz))
     if mark is None:                  # no numeric id in this run: keep the old mark
         mark = previous if previous else None
     history.close_and_open(run_id, mark, s.etl_name, run_ts)
