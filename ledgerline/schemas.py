@@ -69,15 +69,31 @@ FLAT = StructType([
     _f("flat_invoice", StructType([_f("invoice", INVOICE)])),
 ])
 
-# Page schema without line items: the JSON parser skips unknown fields, so an
-# invoice-only read never materialises the item arrays.
-PAGE_HEADERS_ONLY = StructType([
-    _f("page_no", LongType()),
-    _f("next_offset", StringType()),
-    _f("list", ArrayType(StructType([
-        _f("invoice", StructType([f for f in INVOICE.fields if f.name != "line_items"])),
-    ]))),
-])
+def page_schema(invoice_fields=None, item_fields=None) -> StructType:
+    """A page schema keeping only the named invoice and line-item fields.
+
+    Catalyst prunes nested fields of Parquet scans but not of JSON scans, so
+    a reader that needs a few fields passes this narrower schema itself: the
+    JSON parser skips every field it is not asked for instead of building
+    it.  ``None`` keeps all fields; ``item_fields=()`` drops ``line_items``.
+    """
+    items = [f for f in LINE_ITEM.fields if item_fields is None or f.name in item_fields]
+    inv = []
+    for f in INVOICE.fields:
+        if f.name == "line_items":
+            if item_fields is None or item_fields:
+                inv.append(_f("line_items", ArrayType(StructType(items))))
+        elif invoice_fields is None or f.name in invoice_fields:
+            inv.append(f)
+    return StructType([
+        _f("page_no", LongType()),
+        _f("next_offset", StringType()),
+        _f("list", ArrayType(StructType([_f("invoice", StructType(inv))]))),
+    ])
+
+
+# Page schema without line items: an invoice-only read never builds the item arrays.
+PAGE_HEADERS_ONLY = page_schema(item_fields=())
 
 # Flattened invoices (12 columns, in output order).
 INVOICES = StructType([
