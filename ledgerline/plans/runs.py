@@ -37,8 +37,12 @@ from ledgerline.plans.control import (
 from ledgerline.sinks.parquet import (
     RUN_COLUMN, conform, ensure_table, read_run_partition, with_run_column, write_run_partition,
 )
+from ledgerline.sinks.jdbc import append_new_rows, write_jdbc
 from ledgerline.sources.report import read_report
 
+# Key of a target row: the invoice and the line item.
+TARGET_KEY = ["invoice_id", "id"]
+
 log = logging.getLogger(__name__)
 
 
@@ -53,6 +57,12 @@ class LoadSettings:
     null_safe: bool = False
     join_strategy: str = "auto"
     multiline: bool = False
+    # Target store: "parquet" (partitioned by run, replay-safe by partition
+    # overwrite) or "jdbc" (truncating overwrite, key-checked append).
+    target_format: str = "parquet"
+    jdbc_url: str | None = None
+    jdbc_table: str = "invoice_data"
+    jdbc_driver: str | None = None
 
 
 @dataclass(frozen=True)
@@ -81,7 +91,7 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
         return RunOutcome(action, run_id, "skipped" if action == ACTION_SKIP else "noop")
 
     previous = parse_watermark(row["filter_col1_value"]) if action == ACTION_DELTA else None
-    if action == ACTION_FULL:
+    if action == ACTION_FULL and s.target_format == "parquet":
         ensure_table(spark, s.target_path, with_run_column(schemas.INVOICE_DATA_DDL), partition_by=[RUN_COLUMN])
 
     pages = read_report(spark, s.report_path, multiline=s.multiline)
@@ -97,9 +107,14 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     strategy = s.join_strategy
     if strategy == "auto":
         strategy = "nested" if unique else "shuffle"
-    joined = join_flat(lake, s.tz, s.null_safe, strategy)
-    write_run_partition(conform(joined, schemas.INVOICE_DATA_DDL), s.target_path, run_id,
-                        replace_all=(action == ACTION_FULL))
+    joined = conform(join_flat(lake, s.tz, s.null_safe, strategy), schemas.INVOICE_DATA_DDL)
+    if s.target_format == "jdbc":
+        if action == ACTION_FULL:
+            write_jdbc(joined, s.jdbc_url, s.jdbc_table, "overwrite", s.jdbc_driver)
+        else:
+            append_new_rows(spark, joined, s.jdbc_url, s.jdbc_table, TARGET_KEY, s.jdbc_driver)
+    else:
+        write_run_partition(joined, s.target_path, run_id, replace_all=(action == ACTION_FULL))
     if stop_after_write:
         return RunOutcome(action, run_id, "stopped", previous)
 
