@@ -343,16 +343,23 @@ def load_replay(spark, sf_dir):
 
 
 def stream_ingest(spark, sf_dir):
-    """SRC-02 as a file stream: two landed fetches, each ingested exactly once."""
+    """SRC-02 as a file stream: two landed fetches ingested exactly once.
+
+    The stream reads the two landed fetches (orders up to the half mark, and
+    the rest); a second availableNow run must find nothing new.
+    """
     def build():
         half = _half_mark(spark, sf_dir)
+        first = land_driver_report(spark, sf_dir, max_order_key=half)
+        second = land_driver_report(spark, sf_dir, min_order_key=half + 1)
+        root = first.rsplit("/", 1)[0]
+        names = ",".join(p.rsplit("/", 1)[1] for p in (first, second))
+        source = f"{root}/{{{names}}}/*.json"
         base = fresh_dir(spark, "stream")
-        src, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
-        from ledgerline.sources.report import land_pages
-        land_pages(fixtures.report_pages(spark, sf_dir, max_order_key=half), f"{src}/fetch-1")
-        ingest.ingest_available(spark, f"{src}/*/*.json", target, ckpt)
-        land_pages(fixtures.report_pages(spark, sf_dir, min_order_key=half + 1), f"{src}/fetch-2")
-        ingest.ingest_available(spark, f"{src}/*/*.json", target, ckpt)
+        target, ckpt = f"{base}/target", f"{base}/checkpoint"
+        ingest.ingest_available(spark, source, target, ckpt)
+        if ingest.ingest_available(spark, source, target, ckpt) != 0:
+            raise AssertionError("a second availableNow run found files already ingested")
         return target
     target = _memo(("stream", sf_dir, id(spark.sparkContext)), build)
     return ingest.read_ingested(spark, target).drop(ingest.BATCH_COLUMN)
