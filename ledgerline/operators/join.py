@@ -103,6 +103,12 @@ def id_profile(flat: DataFrame):
     return n_rows, unique, row["mark"]
 
 
+def duplicate_ids(flat: DataFrame) -> DataFrame:
+    """Invoice ids that occur in more than one record, with their counts."""
+    ids = flat.select(F.col(f"{INV}.id").alias("id")).where(F.col("id").isNotNull())
+    return ids.groupBy("id").agg(F.count(F.lit(1)).alias("records")).where(F.col("records") > 1)
+
+
 def ids_are_unique(flat: DataFrame) -> bool:
     """True when no non-NULL invoice id occurs in more than one record."""
     return id_profile(flat)[1]

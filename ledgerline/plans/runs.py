@@ -57,6 +57,10 @@ class LoadSettings:
     null_safe: bool = False
     join_strategy: str = "auto"
     multiline: bool = False
+    # A report whose invoice id repeats: "fail" stops the run before any
+    # write; "join" keeps the relational join, which pairs every copy of the
+    # invoice with the items of every copy (rows multiply per duplicate).
+    on_duplicate_ids: str = "fail"
     # Target store: "parquet" (partitioned by run, replay-safe by partition
     # overwrite) or "jdbc" (truncating overwrite, key-checked append).
     target_format: str = "parquet"
@@ -65,6 +69,10 @@ class LoadSettings:
     jdbc_driver: str | None = None
 
 
+class DuplicateInvoiceIds(ValueError):
+    """The report breaks its primary key: an invoice id occurs in several records."""
+
+
 @dataclass(frozen=True)
 class RunOutcome:
     action: str
@@ -104,6 +112,10 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     if n_rows == 0:                   # FLT-05: nothing new, history untouched
         return RunOutcome(action, run_id, "empty", previous)
 
+    if not unique and s.on_duplicate_ids == "fail":
+        raise DuplicateInvoiceIds(
+            f"run {run_id}: invoice ids repeat across report records; "
+            "see operators.join.duplicate_ids, or set on_duplicate_ids='join'")
     strategy = s.join_strategy
     if strategy == "auto":
         strategy = "nested" if unique else "shuffle"

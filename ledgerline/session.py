@@ -9,6 +9,7 @@ absent (plain local sessions, tests) does this module make its own folder.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -17,21 +18,32 @@ from pyspark.sql import SparkSession
 _OWN_ROOTS: dict[int, str] = {}
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for lineage cuts and written intermediate tables."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # pragma: no cover - conf not readable
-            configured = None
+    configured = None
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        configured = None
+    sc = _context(spark)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    key = id(sc)
+    key = id(sc) if sc is not None else id(spark)
     if key not in _OWN_ROOTS:
+        # Only sessions without a configured folder (tests, plain local runs).
         root = tempfile.mkdtemp(prefix="ledgerline-")
-        sc.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
         _OWN_ROOTS[key] = root
     return _OWN_ROOTS[key]
 
@@ -47,20 +59,37 @@ def keyed_dir(spark: SparkSession, label: str, key: str) -> str:
 
 
 def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    """Hadoop FileSystem and Path (any scheme), or None on Spark Connect."""
+    sc = _context(spark)
+    if sc is None:
+        return None
+    jvm = sc._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return fs, hpath
 
 
+def _local(path: str) -> str:
+    if "://" in path and not path.startswith("file:"):
+        raise RuntimeError(f"no Hadoop file system access for {path} on this session")
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _hadoop_path(spark, path)
+    h = _hadoop_path(spark, path)
+    if h is None:
+        return os.path.exists(_local(path))
+    fs, hpath = h
     return bool(fs.exists(hpath))
 
 
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of ``path`` (empty if it does not exist)."""
-    fs, hpath = _hadoop_path(spark, path)
+    h = _hadoop_path(spark, path)
+    if h is None:
+        p = _local(path)
+        return sorted(os.listdir(p)) if os.path.isdir(p) else []
+    fs, hpath = h
     if not fs.exists(hpath):
         return []
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
@@ -68,7 +97,16 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
 
 def file_fingerprint(spark: SparkSession, path: str) -> str:
     """Length and modification time of a file or folder, for cache keys."""
-    fs, hpath = _hadoop_path(spark, path)
+    h = _hadoop_path(spark, path)
+    if h is None:
+        p = _local(path)
+        names = sorted(os.listdir(p)) if os.path.isdir(p) else [""]
+        parts = []
+        for n in names:
+            st = os.stat(os.path.join(p, n) if n else p)
+            parts.append(f"{n}:{st.st_size}:{int(st.st_mtime * 1000)}")
+        return "|".join(parts)
+    fs, hpath = h
     st = fs.getFileStatus(hpath)
     if st.isDirectory():
         parts = sorted(

@@ -47,9 +47,13 @@ def read_run_partition(spark: SparkSession, path: str, schema: StructType, run_i
     return full.where(F.col(RUN_COLUMN) == F.lit(run_id)).drop(RUN_COLUMN)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan (from file sizes)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimised plan (from file sizes);
+    None when the plan cannot be inspected (Spark Connect)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:
+        return None
     return int(size if isinstance(size, int) else size.toString())
 
 
@@ -61,7 +65,8 @@ def write_single_file(df: DataFrame, path: str, max_bytes: int = SINGLE_FILE_MAX
     stays parallel (same rows, several files).  Returns True when one file
     was written.
     """
-    single = estimated_bytes(df) <= max_bytes
+    size = estimated_bytes(df)
+    single = size is not None and size <= max_bytes
     out = df.coalesce(1) if single else df
     if not single:
         log.warning("single-file write of %s skipped: estimate above %d bytes", path, max_bytes)

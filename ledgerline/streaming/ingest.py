@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.functions.dates import DEFAULT_TZ
 from ledgerline.operators.flatten import explode_invoices
-from ledgerline.operators.join import join_flat
+from ledgerline.operators.join import id_profile, join_flat
 from ledgerline.sinks.parquet import conform
 
 BATCH_COLUMN = "batch_id"
@@ -37,12 +37,24 @@ def page_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: i
 
 def ingest_available(spark: SparkSession, landing_glob: str, target_path: str, checkpoint_path: str,
                      tz: str | None = DEFAULT_TZ, null_safe: bool = False,
-                     join_strategy: str = "auto") -> int:
-    """Process every page landed so far; returns the number of micro-batches run."""
+                     join_strategy: str = "auto", on_duplicate_ids: str = "fail") -> int:
+    """Process every page landed so far; returns the number of micro-batches run.
+
+    Ids are profiled per micro-batch (one aggregation over the id column):
+    unique ids take the join without a shuffle; a repeated id fails the batch
+    unless ``on_duplicate_ids="join"`` (relational join, rows multiply).
+    """
     batches: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        joined = join_flat(explode_invoices(batch), tz, null_safe, join_strategy)
+        flat = explode_invoices(batch)
+        n_rows, unique, _ = id_profile(flat)
+        if n_rows == 0:
+            return
+        if not unique and on_duplicate_ids == "fail":
+            raise ValueError(f"micro-batch {batch_id}: invoice ids repeat across report records")
+        strategy = join_strategy if join_strategy != "auto" else ("nested" if unique else "shuffle")
+        joined = join_flat(flat, tz, null_safe, strategy)
         out = conform(joined, schemas.INVOICE_DATA_DDL).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
         (out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

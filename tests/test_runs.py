@@ -142,3 +142,22 @@ def test_job_cli(spark, scratch, tmp_path, capsys):
     assert job.main(argv)["status"] == "empty"
     dates = {r.invoice_date for r in read_target(spark, f"{base}/t").collect()}
     assert dates == {"1970-01-01 01:00:00.000"}
+
+
+def test_duplicate_ids_fail_the_run_or_join_on_request(spark, scratch, tmp_path):
+    from ledgerline.plans.runs import DuplicateInvoiceIds
+    from ledgerline.operators import flatten, join
+    from ledgerline.sources import read_report
+    dup = invoice("7", items=[item("7-1")])
+    report = write_pages(tmp_path, [page([dup], 0), page([dup, invoice("8")], 1)])
+    s = _settings(scratch, report)
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    with pytest.raises(DuplicateInvoiceIds):
+        run_load(spark, s)
+    from ledgerline.session import path_exists
+    assert not path_exists(spark, f"{s.target_path}/run_id=1")
+    dups = join.duplicate_ids(flatten.explode_invoices(read_report(spark, report))).collect()
+    assert [(r.id, r.records) for r in dups] == [("7", 2)]
+    r = run_load(spark, replace(s, on_duplicate_ids="join"))
+    assert r.status == "written"
+    assert read_target(spark, s.target_path).where(F.col("invoice_id") == "7").count() == 4
