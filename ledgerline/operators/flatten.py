@@ -48,13 +48,14 @@ def explode_invoices_since(pages: DataFrame, mark, outer: bool = False) -> DataF
     Catalyst does not push a filter on the exploded struct below the
     ``Generate``; filtering the array with a higher-order function means the
     rows older than the mark are never produced at all.  Same rows as
-    ``delta_filter(explode_invoices(pages), mark)``.
+    ``delta_filter(explode_invoices(pages, outer), mark)``: with an active mark
+    the NULL rows of an outer explode never pass the filter, so ``outer``
+    only matters for a full load.
     """
     if not _mark_active(mark):
         return explode_invoices(pages, outer)
     kept = F.filter(F.col("list"), lambda x: numeric_id(x["invoice"]["id"]) > F.lit(mark))
-    gen = F.explode_outer if outer else F.explode
-    return pages.withColumn("flat_invoice", gen(kept)).drop("list")
+    return pages.withColumn("flat_invoice", F.explode(kept)).drop("list")
 
 
 def reject_non_numeric(flat: DataFrame) -> DataFrame:
