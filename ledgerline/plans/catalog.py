@@ -27,7 +27,7 @@ from ledgerline.plans.oracles import NEW_YORK, RUN_TS
 from ledgerline.plans.runs import LoadSettings, read_target, run_load
 from ledgerline.session import fresh_dir
 from ledgerline.sinks import parquet as pq
-from ledgerline.sources import fixtures, inline_rows, land_driver_report, read_report
+from ledgerline.sources import fixtures, inline_rows, land_driver_report, read_parquet, read_report
 from ledgerline.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,15 +219,14 @@ def parquet_roundtrip(spark, sf_dir):
     """SNK-03 + SRC-03: the joined set written as run partition 1 and read back."""
     path = fresh_dir(spark, "roundtrip")
     pq.write_run_partition(join.join_flat(_flat(spark, sf_dir)), path, run_id=1)
-    schema = pq.with_run_column(schemas.INVOICE_DATA)
-    return spark.read.schema(schema).parquet(path)
+    return read_parquet(spark, path, pq.with_run_column(schemas.INVOICE_DATA))
 
 
 def parquet_single_file(spark, sf_dir):
     """SNK-04: a small table written as one file (size-checked) and read back."""
     path = fresh_dir(spark, "single")
     pq.write_single_file(_employee_report(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return read_parquet(spark, path)
 
 
 def ensure_table(spark, sf_dir):
@@ -236,7 +235,7 @@ def ensure_table(spark, sf_dir):
     pq.ensure_table(spark, path, schemas.INVOICE_DATA_DDL)
     joined = join.join_flat(_flat(spark, sf_dir))
     pq.conform(joined, schemas.INVOICE_DATA_DDL).write.mode("append").parquet(path)
-    return spark.read.schema(schemas.INVOICE_DATA_DDL).parquet(path)
+    return read_parquet(spark, path, schemas.INVOICE_DATA_DDL)
 
 
 # Display labels of the invoice statuses.

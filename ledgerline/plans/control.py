@@ -111,14 +111,17 @@ class RunHistory:
     def _version_path(self, n: int) -> str:
         return f"{self.path}/v={n:08d}"
 
+    def _versions(self) -> list[int]:
+        """Every snapshot folder number, complete or not."""
+        return sorted(int(n[2:]) for n in list_children(self.spark, self.path)
+                      if n.startswith("v=") and n[2:].isdigit())
+
     def current_version(self) -> int | None:
-        versions = []
-        for name in list_children(self.spark, self.path):
-            if name.startswith("v=") and name[2:].isdigit():
-                n = int(name[2:])
-                if path_exists(self.spark, f"{self._version_path(n)}/_SUCCESS"):
-                    versions.append(n)
-        return max(versions) if versions else None
+        """The highest snapshot whose ``_SUCCESS`` marker exists."""
+        for n in reversed(self._versions()):
+            if path_exists(self.spark, f"{self._version_path(n)}/_SUCCESS"):
+                return n
+        return None
 
     def table(self) -> DataFrame:
         """The current snapshot (empty, typed, when nothing was published yet)."""
@@ -128,11 +131,18 @@ class RunHistory:
         return self.spark.read.schema(schemas.HISTORY).parquet(self._version_path(v))
 
     def publish(self, df: DataFrame) -> int:
-        """Write ``df`` as the next snapshot; returns its version number."""
-        n = (self.current_version() or 0) + 1
+        """Write ``df`` as the next snapshot; returns its version number.
+
+        The number goes past every existing folder, including an incomplete
+        one left by a crash, and an existing folder is never overwritten: of
+        two runs racing for the same number, one fails instead of silently
+        replacing the other's snapshot.
+        """
+        versions = self._versions()
+        n = (versions[-1] if versions else 0) + 1
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.HISTORY.fields])
         # One small file per snapshot: one row per run, bounded by the run count.
-        out.coalesce(1).write.mode("overwrite").parquet(self._version_path(n))
+        out.coalesce(1).write.mode("errorifexists").parquet(self._version_path(n))
         return n
 
     def seed(self, etl_name: str = ETL_NAME, run_ts: int | None = None) -> bool:

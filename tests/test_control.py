@@ -56,3 +56,7 @@ def test_versions_and_partial_snapshot(spark, scratch):
     active = hist.active_run().collect()
     assert [(r.id, r.filter_col1_value) for r in active] == [(2, "10")]
     assert hist.table().where(F.col("is_active") == "Y").count() == 1
+    # The next snapshot goes past the incomplete folder instead of reusing it.
+    assert hist.close_and_open(2, 20, run_ts=0) == 10
+    assert hist.current_version() == 10
+    assert [(r.id, r.filter_col1_value) for r in hist.active_run().collect()] == [(3, "20")]
