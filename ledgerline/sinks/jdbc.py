@@ -36,11 +36,27 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str, driver: str | Non
     df.write.format("jdbc").options(**opts).mode(mode).save()
 
 
+def table_exists(spark: SparkSession, url: str, table: str, driver: str | None = None,
+                 options: dict | None = None) -> bool:
+    """Whether the target table exists (resolving its schema reads no rows)."""
+    try:
+        read_jdbc(spark, url, table, driver, options).schema
+        return True
+    except Exception as exc:  # the driver's "no such table" error, wrapped by Spark
+        text = str(exc).lower()
+        if "does not exist" in text or "not found" in text or "no such table" in text:
+            return False
+        raise
+
+
 def append_new_rows(spark: SparkSession, df: DataFrame, url: str, table: str, keys: list[str],
-                    driver: str | None = None, options: dict | None = None,
-                    table_exists: bool = True) -> None:
-    """Append the rows of ``df`` whose key is not yet in the target (replay-safe)."""
-    if table_exists:
+                    driver: str | None = None, options: dict | None = None) -> None:
+    """Append the rows of ``df`` whose key is not yet in the target (replay-safe).
+
+    Only the key columns of the target are read (the projection is pushed to
+    the database); a missing table is created by the append.
+    """
+    if table_exists(spark, url, table, driver, options):
         existing = read_jdbc(spark, url, table, driver, options).select(*keys).distinct()
         df = df.join(existing, keys, "left_anti")
     write_jdbc(df, url, table, "append", driver, options)

@@ -62,3 +62,12 @@ def test_jdbc_overwrite_truncates_and_append_is_replay_safe(spark):
     jdbc.append_new_rows(spark, delta, url, "invoice_data", ["invoice_id", "id"], driver=DERBY)  # replay
     back = jdbc.read_jdbc(spark, url, "invoice_data", driver=DERBY)
     assert sorted((r[0], r[1]) for r in back.select(*back.columns[:2]).collect()) == [("1", "1-1"), ("1", "1-2"), ("2", "2-1")]
+
+
+def test_jdbc_append_creates_a_missing_table(spark):
+    url = "jdbc:derby:memory:ledgerline_missing;create=true"
+    assert jdbc.table_exists(spark, url, "fresh_table", driver=DERBY) is False
+    df = spark.createDataFrame([("1", "1-1")], "invoice_id string, id string")
+    jdbc.append_new_rows(spark, df, url, "fresh_table", ["invoice_id", "id"], driver=DERBY)
+    assert jdbc.table_exists(spark, url, "fresh_table", driver=DERBY) is True
+    assert jdbc.read_jdbc(spark, url, "fresh_table", driver=DERBY).count() == 1
