@@ -13,6 +13,7 @@ folder, and its written tables are read back by every query that needs them.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -33,6 +34,7 @@ from ledgerline.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 
 _SCENARIOS: dict[tuple, object] = {}
+_SCENARIO_LOCK = threading.Lock()
 
 
 # ------------------------------------------------------------------ helpers
@@ -66,9 +68,11 @@ def _history_view(history: DataFrame) -> DataFrame:
 
 
 def _memo(key: tuple, build):
-    if key not in _SCENARIOS:
-        _SCENARIOS[key] = build()
-    return _SCENARIOS[key]
+    """Build a scenario once per key, also when queries are called from several threads."""
+    with _SCENARIO_LOCK:
+        if key not in _SCENARIOS:
+            _SCENARIOS[key] = build()
+        return _SCENARIOS[key]
 
 
 def _settings(spark: SparkSession, report_path: str) -> LoadSettings:

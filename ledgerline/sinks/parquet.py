@@ -84,7 +84,7 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType,
     """
     if path_exists(spark, f"{path}/_SUCCESS"):
         return False
-    empty = spark.createDataFrame([], schema)
+    empty = spark.createDataFrame([], schema).coalesce(1)
     writer = empty.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
