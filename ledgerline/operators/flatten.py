@@ -31,18 +31,18 @@ def _mark_active(mark) -> bool:
     return mark is not None and mark > 0
 
 
-def delta_filter(flat: DataFrame, mark) -> DataFrame:
-    """Keep invoices whose numeric id is strictly greater than ``mark`` (FLT-01).
+def delta_filter(flat: DataFrame, mark, field: str = "id") -> DataFrame:
+    """Keep invoices whose numeric ``field`` (the id) is strictly greater than ``mark`` (FLT-01).
 
     FLT-02: a NULL, zero or negative mark means a full load, no filter.
-    Non-numeric ids never pass a delta filter (see ``reject_non_numeric``).
+    Non-numeric values never pass a delta filter (see ``reject_non_numeric``).
     """
     if not _mark_active(mark):
         return flat
-    return flat.where(numeric_id(F.col(f"{INV}.id")) > F.lit(mark))
+    return flat.where(numeric_id(F.col(f"{INV}.{field}")) > F.lit(mark))
 
 
-def explode_invoices_since(pages: DataFrame, mark, outer: bool = False) -> DataFrame:
+def explode_invoices_since(pages: DataFrame, mark, outer: bool = False, field: str = "id") -> DataFrame:
     """Explode with the delta filter applied to the array first.
 
     Catalyst does not push a filter on the exploded struct below the
@@ -54,7 +54,7 @@ def explode_invoices_since(pages: DataFrame, mark, outer: bool = False) -> DataF
     """
     if not _mark_active(mark):
         return explode_invoices(pages, outer)
-    kept = F.filter(F.col("list"), lambda x: numeric_id(x["invoice"]["id"]) > F.lit(mark))
+    kept = F.filter(F.col("list"), lambda x: numeric_id(x["invoice"][field]) > F.lit(mark))
     return pages.withColumn("flat_invoice", F.explode(kept)).drop("list")
 
 

@@ -38,17 +38,20 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
-def read_report(spark: SparkSession, path: str, schema: StructType = schemas.PAGE,
+def read_report(spark: SparkSession, path: str, schema: StructType | None = schemas.PAGE,
                 multiline: bool = False, mode: str = "FAILFAST",
                 with_source: bool = False) -> DataFrame:
     """Scan report pages.
 
     ``mode="FAILFAST"`` makes a malformed page fail the job instead of
     turning into an all-NULL row that the explode would silently drop;
-    ``"PERMISSIVE"`` gives Spark's default.
+    ``"PERMISSIVE"`` gives Spark's default.  ``schema=None`` infers the
+    schema like the reference did: an extra pass over the input, and a field
+    absent from every page (or an empty ``list``) then fails analysis.
     """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     df = (
-        spark.read.schema(schema)
+        reader
         .option("multiLine", "true" if multiline else "false")
         .option("mode", mode)
         .json(path)

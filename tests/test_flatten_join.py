@@ -144,3 +144,17 @@ def test_malformed_page_fails_fast(spark, tmp_path):
     (folder / "p.json").write_text('{"page_no": 1, "list": [\n')
     with pytest.raises(Exception):
         flatten.explode_invoices(read_report(spark, str(folder))).count()
+
+
+def test_inferred_schema_parity_and_its_failure_mode(spark, tmp_path):
+    p = read_report(spark, write_pages(tmp_path, [page([invoice("1")])]), schema=None)
+    assert flatten.project_items(flatten.explode_invoices(p)).count() == 1
+    # No page carries paid_at: inference cannot see the field, the declared schema can.
+    with pytest.raises(Exception):
+        flatten.project_invoices(flatten.explode_invoices(p)).collect()
+
+
+def test_delta_filter_on_another_numeric_field(spark, tmp_path):
+    p = _pages(spark, tmp_path, [page([invoice("1", total=50), invoice("2", total=500)])])
+    flat = flatten.explode_invoices_since(p, 100, field="total")
+    assert [r.id for r in flatten.project_invoices(flat).collect()] == ["2"]
