@@ -99,8 +99,6 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
         return RunOutcome(action, run_id, "skipped" if action == ACTION_SKIP else "noop")
 
     previous = parse_watermark(row["filter_col1_value"]) if action == ACTION_DELTA else None
-    if action == ACTION_FULL and s.target_format == "parquet":
-        ensure_table(spark, s.target_path, with_run_column(schemas.INVOICE_DATA_DDL), partition_by=[RUN_COLUMN])
 
     pages = read_report(spark, s.report_path, multiline=s.multiline)
     flat = explode_invoices_since(pages, previous)
@@ -110,6 +108,11 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     # One pass over the lake's id column: emptiness, id uniqueness, new mark.
     n_rows, unique, mark = id_profile(lake)
     if n_rows == 0:                   # FLT-05: nothing new, history untouched
+        if action == ACTION_FULL and s.target_format == "parquet":
+            # SNK-05: the target exists after a full load even when it wrote
+            # nothing (a written full load creates it by its overwrite).
+            ensure_table(spark, s.target_path, with_run_column(schemas.INVOICE_DATA_DDL),
+                         partition_by=[RUN_COLUMN])
         return RunOutcome(action, run_id, "empty", previous)
 
     if not unique and s.on_duplicate_ids == "fail":

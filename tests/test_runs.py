@@ -161,3 +161,13 @@ def test_duplicate_ids_fail_the_run_or_join_on_request(spark, scratch, tmp_path)
     r = run_load(spark, replace(s, on_duplicate_ids="join"))
     assert r.status == "written"
     assert read_target(spark, s.target_path).where(F.col("invoice_id") == "7").count() == 4
+
+
+def test_empty_full_load_creates_the_target(spark, scratch, tmp_path):
+    s = _settings(scratch, write_pages(tmp_path, [{"page_no": 0, "list": []}]))
+    hist = control.RunHistory(spark, s.control_path)
+    hist.seed(run_ts=0)
+    r = run_load(spark, s)
+    assert (r.action, r.status) == ("full", "empty")
+    assert read_target(spark, s.target_path).count() == 0
+    assert hist.current_version() == 1          # history untouched
