@@ -158,3 +158,9 @@ def test_delta_filter_on_another_numeric_field(spark, tmp_path):
     p = _pages(spark, tmp_path, [page([invoice("1", total=50), invoice("2", total=500)])])
     flat = flatten.explode_invoices_since(p, 100, field="total")
     assert [r.id for r in flatten.project_invoices(flat).collect()] == ["2"]
+
+
+def test_source_file_lineage(spark, tmp_path):
+    p = read_report(spark, write_pages(tmp_path, [page([invoice("1")])]), with_source=True)
+    files = [r.source_file for r in p.select("source_file").collect()]
+    assert len(files) == 1 and files[0].endswith("pages.json")
