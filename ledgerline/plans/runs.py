@@ -25,6 +25,7 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import parse_watermark
@@ -124,10 +125,14 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
         strategy = "nested" if unique else "shuffle"
     joined = conform(join_flat(lake, s.tz, s.null_safe, strategy), schemas.INVOICE_DATA_DDL)
     if s.target_format == "jdbc":
+        # The JDBC target carries run_id too, so a retried run checks only
+        # its own earlier rows (``run_id = N`` is pushed to the database).
+        out = joined.withColumn(RUN_COLUMN, F.lit(run_id).cast("bigint"))
         if action == ACTION_FULL:
-            write_jdbc(joined, s.jdbc_url, s.jdbc_table, "overwrite", s.jdbc_driver)
+            write_jdbc(out, s.jdbc_url, s.jdbc_table, "overwrite", s.jdbc_driver)
         else:
-            append_new_rows(spark, joined, s.jdbc_url, s.jdbc_table, TARGET_KEY, s.jdbc_driver)
+            append_new_rows(spark, out, s.jdbc_url, s.jdbc_table, TARGET_KEY, s.jdbc_driver,
+                            scope=F.col(RUN_COLUMN) == F.lit(run_id))
     else:
         write_run_partition(joined, s.target_path, run_id, replace_all=(action == ACTION_FULL))
     if stop_after_write:

@@ -3,15 +3,13 @@
 ``overwrite`` uses ``truncate=true`` so the table keeps its definition (a
 plain overwrite drops and recreates it from the DataFrame's schema).
 ``append`` first removes rows whose key already exists in the target, so a
-retried run adds nothing; only the keys of the target are read, and only
-those past ``key_floor`` when given (the predicate is pushed to the
-database).
+retried run adds nothing; only the key columns of the target's rows in a
+given scope are read (projection and predicate are pushed to the database).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def _options(url: str, table: str, driver: str | None, extra: dict | None) -> dict:
@@ -50,13 +48,19 @@ def table_exists(spark: SparkSession, url: str, table: str, driver: str | None =
 
 
 def append_new_rows(spark: SparkSession, df: DataFrame, url: str, table: str, keys: list[str],
-                    driver: str | None = None, options: dict | None = None) -> None:
+                    driver: str | None = None, options: dict | None = None,
+                    scope: Column | None = None) -> None:
     """Append the rows of ``df`` whose key is not yet in the target (replay-safe).
 
-    Only the key columns of the target are read (the projection is pushed to
-    the database); a missing table is created by the append.
+    Only the key columns of the target are read, and only the rows matching
+    ``scope`` (e.g. ``run_id = 7``): Spark pushes both the projection and a
+    simple predicate into the database query, so a retried run reads its own
+    earlier rows, not the whole table.  A missing table is created by the
+    append.
     """
     if table_exists(spark, url, table, driver, options):
-        existing = read_jdbc(spark, url, table, driver, options).select(*keys).distinct()
-        df = df.join(existing, keys, "left_anti")
+        existing = read_jdbc(spark, url, table, driver, options)
+        if scope is not None:
+            existing = existing.where(scope)
+        df = df.join(existing.select(*keys).distinct(), keys, "left_anti")
     write_jdbc(df, url, table, "append", driver, options)

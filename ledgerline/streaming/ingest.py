@@ -22,7 +22,7 @@ from ledgerline import schemas
 from ledgerline.functions.dates import DEFAULT_TZ
 from ledgerline.operators.flatten import explode_invoices
 from ledgerline.operators.join import id_profile, join_flat
-from ledgerline.sinks.parquet import conform
+from ledgerline.sinks.parquet import conform, read_run_partition, write_run_partition
 
 BATCH_COLUMN = "batch_id"
 
@@ -37,17 +37,23 @@ def page_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: i
 
 def ingest_available(spark: SparkSession, landing_glob: str, target_path: str, checkpoint_path: str,
                      tz: str | None = DEFAULT_TZ, null_safe: bool = False,
-                     join_strategy: str = "auto", on_duplicate_ids: str = "fail") -> int:
+                     join_strategy: str = "auto", on_duplicate_ids: str = "fail",
+                     lake_path: str | None = None) -> int:
     """Process every page landed so far; returns the number of micro-batches run.
 
-    Ids are profiled per micro-batch (one aggregation over the id column):
-    unique ids take the join without a shuffle; a repeated id fails the batch
-    unless ``on_duplicate_ids="join"`` (relational join, rows multiply).
+    Each micro-batch follows the batch load: the pages are parsed once and
+    the flat set is written to the lake (partition ``batch_id``, default
+    ``<checkpoint>/lake``); the id profile and the join read that Parquet.
+    Unique ids take the join without a shuffle; a repeated id fails the
+    batch unless ``on_duplicate_ids="join"`` (relational join, rows multiply).
     """
     batches: list[int] = []
+    lake = lake_path or f"{checkpoint_path.rstrip('/')}/lake"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        flat = explode_invoices(batch)
+        flat = explode_invoices(batch).select(*[f.name for f in schemas.FLAT.fields])
+        write_run_partition(flat, lake, batch_id)
+        flat = read_run_partition(spark, lake, schemas.FLAT, batch_id)
         n_rows, unique, _ = id_profile(flat)
         if n_rows == 0:
             return
