@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampType
 
 # Fixed values of the derivation (repeated in the oracle SQL).
 PAGE_SIZE = 100                 # invoices per report page
@@ -45,7 +46,17 @@ DAY = 86400
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def _epoch(ts: str) -> Column:
+def _epoch(df: DataFrame, ts: str) -> Column:
+    """Epoch seconds of a timestamp column, independent of the session zone.
+
+    A TIMESTAMP_NTZ (the driver tables) counts seconds from the NTZ epoch; a
+    TIMESTAMP (an instant) uses ``unix_seconds``; a DATE is midnight UTC.
+    """
+    dtype = df.schema[ts].dataType
+    if isinstance(dtype, TimestampType):
+        return F.unix_seconds(F.col(ts))
+    if isinstance(dtype, DateType):
+        return F.unix_date(F.col(ts)).cast("bigint") * DAY
     return F.expr(f"timestampdiff(SECOND, {_EPOCH_NTZ}, {ts})")
 
 
@@ -76,7 +87,7 @@ def invoice_rows(spark: SparkSession, sf_dir: str, max_order_key: int | None = N
                  min_order_key: int | None = None) -> DataFrame:
     """One flat row per invoice (no items), keyed by ``o_orderkey``."""
     o = _key_range(_table(spark, sf_dir, "orders"), "o_orderkey", min_order_key, max_order_key)
-    date = _epoch("o_orderdate")
+    date = _epoch(o, "o_orderdate")
     total = _cents(F.col("o_totalprice"))
     paid = F.col("o_orderstatus") == "F"
     return o.select(
@@ -103,7 +114,7 @@ def item_rows(spark: SparkSession, sf_dir: str, max_order_key: int | None = None
               min_order_key: int | None = None) -> DataFrame:
     """One flat row per line item with the item-level fields that need no order data."""
     li = _key_range(_table(spark, sf_dir, "lineitem"), "l_orderkey", min_order_key, max_order_key)
-    date_from = _epoch("l_shipdate")
+    date_from = _epoch(li, "l_shipdate")
     amount = _cents(F.col("l_extendedprice"))
     quantity = F.col("l_quantity").cast("bigint")
     return li.select(
