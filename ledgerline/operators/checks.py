@@ -11,17 +11,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType) -> DataFrame:
+def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType,
+                profile: bool = False) -> DataFrame:
     """Compare a DataFrame's schema with a declared one (SC-01).
 
     One row per column name in either schema: expected type, actual type and
     a status of ``ok``, ``type_mismatch``, ``missing`` or ``unexpected``.
-    The rows come from the two schemas, never from the data.
+    With ``profile=True`` a ``non_null`` count per present column is added,
+    computed by one aggregate pass over the data (only that one row of counts
+    reaches the driver).
     """
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+    names = list(wanted) + [n for n in actual if n not in wanted]
+    counts = {}
+    if profile:
+        present = [n for n in names if n in actual]
+        row = df.agg(*[F.count(F.col(n)).alias(n) for n in present]).first()
+        counts = {n: row[n] for n in present}
     rows = []
-    for pos, name in enumerate(list(wanted) + [n for n in actual if n not in wanted]):
+    for pos, name in enumerate(names):
         e, a = wanted.get(name), actual.get(name)
         if e is None:
             status = "unexpected"
@@ -29,10 +38,11 @@ def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType) -> Dat
             status = "missing"
         else:
             status = "ok" if e == a else "type_mismatch"
-        rows.append((pos, name, e, a, status))
-    return spark.createDataFrame(
-        rows, "position int, column_name string, expected_type string, actual_type string, status string"
-    )
+        rows.append((pos, name, e, a, status) + ((counts.get(name),) if profile else ()))
+    schema = "position int, column_name string, expected_type string, actual_type string, status string"
+    if profile:
+        schema += ", non_null bigint"
+    return spark.createDataFrame(rows, schema)
 
 
 def contract_violations(df: DataFrame, not_null: list[str]) -> DataFrame:

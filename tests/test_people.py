@@ -42,3 +42,5 @@ def test_schema_diff(spark):
     want = StructType([StructField("a", LongType()), StructField("b", LongType()), StructField("d", StringType())])
     got = {r.column_name: r.status for r in checks.schema_diff(spark, df, want).collect()}
     assert got == {"a": "ok", "b": "type_mismatch", "d": "missing", "c": "unexpected"}
+    prof = {r.column_name: r.non_null for r in checks.schema_diff(spark, df, want, profile=True).collect()}
+    assert prof == {"a": 1, "b": 1, "d": None, "c": 1}
