@@ -33,11 +33,12 @@ def bool_text(c) -> Column:
 
 
 def clean_watermark(c) -> Column:
-    """Stored watermark text to BIGINT: NULL or 'null' give 0, digits parse,
-    anything else raises (never 0, which would reload everything)."""
+    """Stored watermark text to BIGINT: NULL or exactly 'null' give 0, digits
+    (surrounding blanks allowed) parse, anything else raises (never 0, which
+    would reload everything)."""
     v = _col(c)
     return (
-        F.when(v.isNull() | (F.trim(v) == F.lit(NULL_TEXT)), F.lit(0).cast("bigint"))
+        F.when(v.isNull() | (v == F.lit(NULL_TEXT)), F.lit(0).cast("bigint"))
         .when(v.rlike(_INT_PATTERN), F.trim(v).cast("bigint"))
         .otherwise(F.raise_error(F.concat(F.lit("non-numeric watermark: "), v)).cast("bigint"))
     )
@@ -45,9 +46,6 @@ def clean_watermark(c) -> Column:
 
 def parse_watermark(value) -> int:
     """Driver-side twin of ``clean_watermark`` for the one collected control value."""
-    if value is None:
+    if value is None or value == NULL_TEXT:
         return 0
-    text = str(value).strip()
-    if text == NULL_TEXT:
-        return 0
-    return int(text)  # raises ValueError on anything non-numeric
+    return int(str(value).strip())  # raises ValueError on anything non-numeric

@@ -63,7 +63,8 @@ def with_action(history: DataFrame) -> DataFrame:
     """Run gating as a column (FLT-06): skip, full, delta or noop."""
     return history.withColumn(
         "action",
-        F.when(F.col("skip_execution") != NO, F.lit(ACTION_SKIP))
+        # Only an explicit 'N' lets a run go ahead; NULL skips, as any other value.
+        F.when(~F.col("skip_execution").eqNullSafe(F.lit(NO)), F.lit(ACTION_SKIP))
         .when(F.col("full_load") == YES, F.lit(ACTION_FULL))
         .when(F.col("full_load") == NO, F.lit(ACTION_DELTA))
         .otherwise(F.lit(ACTION_NOOP)),

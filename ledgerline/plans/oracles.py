@@ -181,7 +181,7 @@ FROM inv LEFT JOIN dim ON inv.status = dim.status GROUP BY 1, 2""",
         "watermark_cleanup": f"""SELECT id, filter_col1_value,
   COALESCE(CAST(NULLIF(filter_col1_value, 'null') AS BIGINT), 0) AS mark
 FROM ({_history_rows()})""",
-        "run_gate": f"""SELECT id, CASE WHEN skip_execution <> 'N' THEN 'skip' WHEN full_load = 'Y' THEN 'full'
+        "run_gate": f"""SELECT id, CASE WHEN skip_execution IS DISTINCT FROM 'N' THEN 'skip' WHEN full_load = 'Y' THEN 'full'
   WHEN full_load = 'N' THEN 'delta' ELSE 'noop' END AS action
 FROM ({_history_rows()})""",
         "preview_joined": f"SELECT * FROM ({joined}) ORDER BY {order_all} LIMIT 20",

@@ -26,6 +26,18 @@ def _context(spark: SparkSession):
         return None
 
 
+def _is_local(spark: SparkSession, sc) -> bool:
+    """Whether the session runs in local mode (driver and executors share one disk)."""
+    master = None
+    try:
+        master = spark.conf.get("spark.master", None)
+    except Exception:
+        master = None
+    if not master and sc is not None:
+        master = sc.master
+    return not master or master.startswith("local")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for lineage cuts and written intermediate tables."""
     configured = None
@@ -38,9 +50,15 @@ def shared_root(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not _is_local(spark, sc):
+        # A folder made here would live on the driver's disk only: executors
+        # could not read it, and it would vanish with the driver.
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a folder on shared storage "
+            "(HDFS, S3, ...) for intermediate tables")
     key = id(sc) if sc is not None else id(spark)
     if key not in _OWN_ROOTS:
-        # Only sessions without a configured folder (tests, plain local runs).
+        # Only local sessions without a configured folder (tests, plain local runs).
         root = tempfile.mkdtemp(prefix="ledgerline-")
         if sc is not None:
             sc.setCheckpointDir(root)

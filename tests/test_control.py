@@ -1,4 +1,5 @@
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgerline import schemas
 from ledgerline.plans import control
@@ -33,6 +34,17 @@ def test_gate_actions(spark):
     assert got == {1: "full", 2: "delta", 3: "skip", 4: "noop"}
 
 
+def test_null_skip_flag_skips(spark):
+    # Only an explicit 'N' lets a run go ahead; NULL full_load is a no-op.
+    # A file read makes every column nullable, whatever the DDL says.
+    rows = _rows(spark, [dict(id=1, full_load="Y"), dict(id=2)]).collect()
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in schemas.HISTORY.fields])
+    h = spark.createDataFrame(
+        [rows[0].asDict() | {"skip_execution": None}, rows[1].asDict() | {"full_load": None}], nullable)
+    got = {r.id: r.action for r in control.with_action(h).collect()}
+    assert got == {1: "skip", 2: "noop"}
+
+
 def test_close_and_open(spark):
     h = _rows(spark, [dict(id=1, full_load="Y"), dict(id=2, is_active="N")])
     out = control.open_run(control.close_run(h, 1), 42, run_ts=0).orderBy("id").collect()

@@ -45,8 +45,11 @@ def test_clean_watermark(spark):
     assert got == [0, 0, 123, 7]
 
 
-def test_clean_watermark_rejects_text(spark):
-    df = spark.createDataFrame([("x",)], "v string").select(clean_watermark("v"))
+@pytest.mark.parametrize("text", ["x", " null", "NULL"])
+def test_clean_watermark_rejects_text(spark, text):
+    # Only NULL and the exact text 'null' stand for "no mark"; anything else
+    # that is not an integer fails instead of reloading everything.
+    df = spark.createDataFrame([(text,)], "v string").select(clean_watermark("v"))
     with pytest.raises(Exception, match="non-numeric watermark"):
         df.collect()
 
@@ -55,8 +58,10 @@ def test_parse_watermark():
     assert parse_watermark(None) == 0
     assert parse_watermark("null") == 0
     assert parse_watermark("42") == 42
-    with pytest.raises(ValueError):
-        parse_watermark("x")
+    assert parse_watermark(" 7 ") == 7
+    for text in ("x", " null", "NULL"):
+        with pytest.raises(ValueError):
+            parse_watermark(text)
 
 
 def test_bool_text(spark):
