@@ -52,6 +52,18 @@ def _flat(spark: SparkSession, sf_dir: str, headers_only: bool = False, schema=N
     return flatten.explode_invoices(_pages(spark, sf_dir, headers_only, schema))
 
 
+def _joined(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """JON-01 from the landed report, strategy chosen as ``auto`` does.
+
+    The id check reads the pages with an id-only schema: Catalyst does not
+    prune nested JSON fields, so checking ids on the full read would parse
+    every field of every record a second time.
+    """
+    ids = _flat(spark, sf_dir, schema=schemas.page_schema(("id",), ()))
+    strategy = "nested" if join.ids_are_unique(ids) else "shuffle"
+    return join.join_flat(_flat(spark, sf_dir), strategy=strategy, **options)
+
+
 def _half_mark(spark: SparkSession, sf_dir: str) -> int:
     """Half of the largest order key: the mark of the 'previous run'."""
     top = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.max("o_orderkey")).first()[0]
@@ -176,17 +188,17 @@ def join_invoice_items(spark, sf_dir):
 
 def join_invoice_items_nested(spark, sf_dir):
     """JON-01 without a shuffle (ids are unique in the landed report)."""
-    return join.join_flat(_flat(spark, sf_dir), strategy="auto")
+    return _joined(spark, sf_dir)
 
 
 def join_invoice_items_null_safe(spark, sf_dir):
     """JON-01 option: NULL subscriptions match each other."""
-    return join.join_flat(_flat(spark, sf_dir), null_safe=True, strategy="auto")
+    return _joined(spark, sf_dir, null_safe=True)
 
 
 def join_invoice_items_left(spark, sf_dir):
     """JON-01 option: invoices without a matching item are kept."""
-    return join.join_flat(_flat(spark, sf_dir), strategy="auto", how="left")
+    return _joined(spark, sf_dir, how="left")
 
 
 def explode_items_outer(spark, sf_dir):
@@ -211,7 +223,7 @@ def mean_steps(spark, sf_dir):
 
 def row_count(spark, sf_dir):
     """AGG-03 over the joined set."""
-    return metrics.row_count(join.join_flat(_flat(spark, sf_dir)))
+    return metrics.row_count(_joined(spark, sf_dir))
 
 
 def employee_report(spark, sf_dir):
@@ -222,7 +234,7 @@ def employee_report(spark, sf_dir):
 def parquet_roundtrip(spark, sf_dir):
     """SNK-03 + SRC-03: the joined set written as run partition 1 and read back."""
     path = fresh_dir(spark, "roundtrip")
-    pq.write_run_partition(join.join_flat(_flat(spark, sf_dir)), path, run_id=1)
+    pq.write_run_partition(_joined(spark, sf_dir), path, run_id=1)
     return read_parquet(spark, path, pq.with_run_column(schemas.INVOICE_DATA))
 
 
@@ -237,7 +249,7 @@ def ensure_table(spark, sf_dir):
     """SNK-05: create the target with the DDL schema, insert by name, read back."""
     path = fresh_dir(spark, "ensure")
     pq.ensure_table(spark, path, schemas.INVOICE_DATA_DDL)
-    joined = join.join_flat(_flat(spark, sf_dir))
+    joined = _joined(spark, sf_dir)
     pq.conform(joined, schemas.INVOICE_DATA_DDL).write.mode("append").parquet(path)
     return read_parquet(spark, path, schemas.INVOICE_DATA_DDL)
 
@@ -294,18 +306,18 @@ def run_gate(spark, sf_dir):
 
 def preview_joined(spark, sf_dir):
     """LIM-02: the first 20 joined rows in a total order."""
-    return metrics.preview(join.join_flat(_flat(spark, sf_dir)), 20)
+    return metrics.preview(_joined(spark, sf_dir), 20)
 
 
 def contract_violations(spark, sf_dir):
     """SC-02 over the left-joined set (invoices without items violate it)."""
-    left = join.join_flat(_flat(spark, sf_dir), how="left")
+    left = _joined(spark, sf_dir, how="left")
     return checks.contract_violations(left, schemas.INVOICE_DATA_NOT_NULL)
 
 
 def schema_check(spark, sf_dir):
     """SC-01: the joined set against the declared target schema, with non-NULL counts."""
-    joined = join.join_flat(_flat(spark, sf_dir))
+    joined = _joined(spark, sf_dir)
     return checks.schema_diff(spark, joined, schemas.INVOICE_DATA, profile=True)
 
 
