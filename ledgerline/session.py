@@ -138,6 +138,7 @@ def file_fingerprint(spark: SparkSession, path: str) -> str:
 def local_session(cores: str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerline", driver_memory: str | None = None) -> SparkSession:
     """A local session configured the way the library expects a cluster to be."""
+    n_cores = (os.cpu_count() or 1) if cores == "*" else int(cores)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -147,6 +148,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Small inputs still split into about three tasks per core; on large
+        # inputs spark.sql.files.maxPartitionBytes sets the split size instead.
+        .config("spark.sql.files.minPartitionNum", str(3 * n_cores))
     )
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
