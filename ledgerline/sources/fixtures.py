@@ -18,9 +18,9 @@ exactly once, on the page number:
   (same partitioning on both sides), and each invoice picks its items from
   the page's map.
 
-Item arrays are grouped per order: the item count per order is bounded by
-the source (seven at most in the driver data), so a group never holds an
-unbounded number of rows.
+Item arrays are grouped per order.  The largest order in the driver data
+has 13 items at sf0.01 and 17 at sf0.1 (mean 4.1), so a group holds a
+handful of rows however large the tables grow.
 """
 
 from __future__ import annotations
