@@ -136,6 +136,14 @@ def json_page_scan(spark, sf_dir):
         "page_no", F.size("list").cast("bigint").alias("n_invoices"))
 
 
+def json_multiline_scan(spark, sf_dir):
+    """SRC-01 as the reference reads it: one JSON document per file, ``multiLine``."""
+    narrow = schemas.page_schema(invoice_fields=("id",), item_fields=())
+    path = land_driver_report(spark, sf_dir, layout="documents")
+    return read_report(spark, path, schema=narrow, multiline=True).select(
+        "page_no", F.size("list").cast("bigint").alias("n_invoices"))
+
+
 def explode_invoices(spark, sf_dir):
     """PRJ-02 + PRJ-03: one row per invoice, sibling column kept."""
     inv = F.col(flatten.INV)
@@ -383,6 +391,7 @@ def stream_ingest(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "json_page_scan": json_page_scan,
+    "json_multiline_scan": json_multiline_scan,
     "explode_invoices": explode_invoices,
     "project_invoices": project_invoices,
     "project_items": project_items,

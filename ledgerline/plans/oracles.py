@@ -140,6 +140,8 @@ def oracles() -> dict[str, str]:
     order_all = ", ".join(f"{c} ASC NULLS FIRST" for c in INVOICE_DATA_COLUMNS)
     return {
         "json_page_scan": f"""SELECT o_orderkey // {fx.PAGE_SIZE} AS page_no, count(*) AS n_invoices
+FROM orders GROUP BY 1""",
+        "json_multiline_scan": f"""SELECT o_orderkey // {fx.PAGE_SIZE} AS page_no, count(*) AS n_invoices
 FROM orders GROUP BY 1""",
         "explode_invoices": f"""SELECT o_orderkey // {fx.PAGE_SIZE} AS page_no, CAST(o_orderkey AS VARCHAR) AS id,
   'c' || CAST(o_custkey AS VARCHAR) AS customer_id, {_sub('o_orderkey')} AS subscription_id,

@@ -67,19 +67,41 @@ def land_pages(pages: DataFrame, path: str) -> str:
     return path
 
 
+def land_documents(pages: DataFrame, path: str) -> str:
+    """Write every report page as its own JSON document file, read with ``multiline=True``.
+
+    This is the reference's report shape: one document per file.
+    ``partitionBy("page_no")`` gives each page its own folder, and a page is
+    one row, so each folder holds exactly one file with one document; the
+    page number comes back from the folder name.  One file per page cannot
+    be split further, which is why line-delimited pages are the landing
+    format and this layout is kept for reports that arrive that way.
+    """
+    (pages.write.mode("overwrite").option("ignoreNullFields", "true")
+        .partitionBy("page_no").json(path))
+    return path
+
+
 def land_driver_report(spark: SparkSession, sf_dir: str, max_order_key: int | None = None,
-                       min_order_key: int | None = None) -> str:
+                       min_order_key: int | None = None, layout: str = "lines") -> str:
     """Land the report derived from the tables in ``sf_dir``; reuse an earlier landing.
 
-    The folder name carries the derivation version and a fingerprint of the
-    input files, so a changed input never reuses a stale landing.  A landing
-    counts only once Spark's ``_SUCCESS`` marker is present.
+    ``layout="lines"`` writes line-delimited pages, ``"documents"`` one
+    document per page file (``land_documents``).  The folder name carries the
+    derivation version, the layout and a fingerprint of the input files, so a
+    changed input never reuses a stale landing.  A landing counts only once
+    Spark's ``_SUCCESS`` marker is present.
     """
+    writers = {"lines": land_pages, "documents": land_documents}
+    if layout not in writers:
+        raise ValueError(f"unknown landing layout: {layout}")
     parts = [LANDING_VERSION, _code_fingerprint(), str(min_order_key), str(max_order_key)]
+    if layout != "lines":
+        parts.append(layout)
     for name in ("orders", "lineitem"):
         parts.append(file_fingerprint(spark, f"{sf_dir}/{name}.parquet"))
     key = hashlib.sha1("#".join(parts).encode()).hexdigest()[:16]
     path = keyed_dir(spark, "landing", key)
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        land_pages(fixtures.report_pages(spark, sf_dir, max_order_key, min_order_key), path)
+        writers[layout](fixtures.report_pages(spark, sf_dir, max_order_key, min_order_key), path)
     return path
