@@ -16,6 +16,7 @@ a single partition, which is why it is not the default.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,11 @@ from ledgerline.sources import fixtures
 # so a changed derivation never reuses an older landing.
 LANDING_VERSION = "v2"
 
+# One lock per landing folder: queries called from several threads of one
+# driver wait for a landing in progress instead of writing it twice.
+_LANDING_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
 
 def _code_fingerprint() -> str:
     h = hashlib.sha1()
@@ -102,6 +108,9 @@ def land_driver_report(spark: SparkSession, sf_dir: str, max_order_key: int | No
         parts.append(file_fingerprint(spark, f"{sf_dir}/{name}.parquet"))
     key = hashlib.sha1("#".join(parts).encode()).hexdigest()[:16]
     path = keyed_dir(spark, "landing", key)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        writers[layout](fixtures.report_pages(spark, sf_dir, max_order_key, min_order_key), path)
+    with _LOCKS_GUARD:
+        lock = _LANDING_LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            writers[layout](fixtures.report_pages(spark, sf_dir, max_order_key, min_order_key), path)
     return path
