@@ -71,3 +71,25 @@ def test_jdbc_append_creates_a_missing_table(spark):
     jdbc.append_new_rows(spark, df, url, "fresh_table", ["invoice_id", "id"], driver=DERBY)
     assert jdbc.table_exists(spark, url, "fresh_table", driver=DERBY) is True
     assert jdbc.read_jdbc(spark, url, "fresh_table", driver=DERBY).count() == 1
+
+
+def test_document_landing_has_one_document_per_page_file(spark, scratch):
+    import glob
+    import os
+
+    from ledgerline.sources import fixtures, land_documents, read_report
+
+    path = scratch("docs")
+    pages = fixtures.report_pages(spark, "/root/testdata/sf0.001")
+    land_documents(pages, path)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    folders = sorted(glob.glob(os.path.join(local, "page_no=*")))
+    assert len(folders) == pages.count()
+    for folder in folders:
+        files = glob.glob(os.path.join(folder, "*.json"))
+        assert len(files) == 1
+        with open(files[0]) as fh:
+            assert len(fh.read().splitlines()) == 1
+    back = read_report(spark, path, multiline=True)
+    assert back.select("page_no").distinct().count() == len(folders)
+    assert back.selectExpr("sum(size(list))").first()[0] == pages.selectExpr("sum(size(list))").first()[0]
