@@ -24,11 +24,11 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.functions import parse_watermark
+from ledgerline.functions import numeric_id, parse_watermark
 from ledgerline.functions.dates import DEFAULT_TZ
 from ledgerline.operators.flatten import explode_invoices_since
 from ledgerline.operators.join import id_profile, join_flat
@@ -80,6 +80,17 @@ class RunOutcome:
     run_id: int | None
     status: str            # skipped | noop | empty | written | stopped
     mark: int | None = None
+    # Invoices whose id is not an integer: a delta leaves them out, a full
+    # load writes them, and they never count in the mark.  NULL when the run
+    # did not read the report.
+    non_numeric_ids: int | None = None
+
+
+def _non_numeric_count(pages: DataFrame):
+    """Invoices across all pages whose id is present but not an integer."""
+    bad = F.filter(F.col("list"), lambda x: x["invoice"]["id"].isNotNull()
+                   & numeric_id(x["invoice"]["id"]).isNull())
+    return F.coalesce(F.sum(F.size(bad)), F.lit(0))
 
 
 def read_target(spark: SparkSession, target_path: str) -> DataFrame:
@@ -102,8 +113,15 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     previous = parse_watermark(row["filter_col1_value"]) if action == ACTION_DELTA else None
 
     pages = read_report(spark, s.report_path, multiline=s.multiline)
+    # Counted while the lake is written (no extra pass over the report).
+    observed = Observation()
+    pages = pages.observe(observed, _non_numeric_count(pages).alias("n"))
     flat = explode_invoices_since(pages, previous)
     write_run_partition(flat.select(*[f.name for f in schemas.FLAT.fields]), s.lake_path, run_id)
+    n_bad = int(observed.get["n"])
+    if n_bad:
+        log.warning("run %s: %d invoices have a non-numeric id (see flatten.reject_non_numeric)",
+                    run_id, n_bad)
     lake = read_run_partition(spark, s.lake_path, schemas.FLAT, run_id)
 
     # One pass over the lake's id column: emptiness, id uniqueness, new mark.
@@ -114,7 +132,7 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
             # nothing (a written full load creates it by its overwrite).
             ensure_table(spark, s.target_path, with_run_column(schemas.INVOICE_DATA_DDL),
                          partition_by=[RUN_COLUMN])
-        return RunOutcome(action, run_id, "empty", previous)
+        return RunOutcome(action, run_id, "empty", previous, n_bad)
 
     if not unique and s.on_duplicate_ids == "fail":
         raise DuplicateInvoiceIds(
@@ -136,10 +154,10 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     else:
         write_run_partition(joined, s.target_path, run_id, replace_all=(action == ACTION_FULL))
     if stop_after_write:
-        return RunOutcome(action, run_id, "stopped", previous)
+        return RunOutcome(action, run_id, "stopped", previous, n_bad)
 
     if mark is None:                  # no numeric id in this run: keep the old mark
         mark = previous if previous else None
     history.close_and_open(run_id, mark, s.etl_name, run_ts)
     log.info("run %s (%s) written, mark %s", run_id, action, mark)
-    return RunOutcome(action, run_id, "written", mark)
+    return RunOutcome(action, run_id, "written", mark, n_bad)

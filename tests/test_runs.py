@@ -171,3 +171,18 @@ def test_empty_full_load_creates_the_target(spark, scratch, tmp_path):
     assert (r.action, r.status) == ("full", "empty")
     assert read_target(spark, s.target_path).count() == 0
     assert hist.current_version() == 1          # history untouched
+
+
+def test_non_numeric_ids_are_counted_and_left_out_of_a_delta(spark, scratch, tmp_path):
+    first = write_pages(tmp_path, [page([invoice("1"), invoice("X0")])], name="first")
+    second = write_pages(tmp_path, [page([invoice("1"), invoice("2"), invoice("X1"), invoice("Y2")])],
+                         name="second")
+    s = _settings(scratch, first)
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    full = run_load(spark, s)
+    # A full load writes every invoice, but a non-numeric id never sets the mark.
+    assert (full.status, full.mark, full.non_numeric_ids) == ("written", 1, 1)
+    delta = run_load(spark, replace(s, report_path=second))
+    assert (delta.status, delta.mark, delta.non_numeric_ids) == ("written", 2, 2)
+    ids = sorted(r.invoice_id for r in read_target(spark, s.target_path).collect())
+    assert ids == ["1", "2", "X0"]
