@@ -93,6 +93,19 @@ def _non_numeric_count(pages: DataFrame):
     return F.coalesce(F.sum(F.size(bad)), F.lit(0))
 
 
+def lake_frame(pages: DataFrame, previous):
+    """The flat set a run writes to the lake, and an observation of its report.
+
+    Invoices newer than ``previous`` are exploded with the filter applied to
+    the array.  The count of non-numeric ids is collected while this frame is
+    written (``observation.get["n"]`` afterwards), so it costs no extra pass.
+    """
+    observed = Observation()
+    pages = pages.observe(observed, _non_numeric_count(pages).alias("n"))
+    flat = explode_invoices_since(pages, previous)
+    return flat.select(*[f.name for f in schemas.FLAT.fields]), observed
+
+
 def read_target(spark: SparkSession, target_path: str) -> DataFrame:
     """The target table (DDL columns plus ``run_id``)."""
     return spark.read.schema(with_run_column(schemas.INVOICE_DATA_DDL)).parquet(target_path)
@@ -113,11 +126,8 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     previous = parse_watermark(row["filter_col1_value"]) if action == ACTION_DELTA else None
 
     pages = read_report(spark, s.report_path, multiline=s.multiline)
-    # Counted while the lake is written (no extra pass over the report).
-    observed = Observation()
-    pages = pages.observe(observed, _non_numeric_count(pages).alias("n"))
-    flat = explode_invoices_since(pages, previous)
-    write_run_partition(flat.select(*[f.name for f in schemas.FLAT.fields]), s.lake_path, run_id)
+    flat, observed = lake_frame(pages, previous)
+    write_run_partition(flat, s.lake_path, run_id)
     n_bad = int(observed.get["n"])
     if n_bad:
         log.warning("run %s: %d invoices have a non-numeric id (see flatten.reject_non_numeric)",

@@ -106,6 +106,18 @@ def test_pushed_delta_filter_runs_inside_the_generator(spark):
     assert shuffles(text) == 0
 
 
+def test_lake_write_is_one_scan_with_the_observation_and_no_shuffle(spark):
+    from ledgerline.plans.runs import lake_frame
+
+    pages = read_report(spark, land_driver_report(spark, SMOKE_DIR))
+    flat, _ = lake_frame(pages, 7)
+    with large_data_plans(spark):
+        text = plan(flat)
+    assert shuffles(text) == 0
+    assert "CollectMetrics" in text
+    assert text.count("FileScan json") == 1
+
+
 def test_json_scan_reads_only_the_declared_fields(spark):
     with large_data_plans(spark):
         text = plan(QUERIES["json_page_scan"](spark, SMOKE_DIR))
