@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SMOKE_DIR
 
-QUERIES = entry.queries()
+QUERIES = entry.QUERIES          # the queries of the llm package have tests of their own
 ORACLES = entry.oracle_sql()
 
 
@@ -32,7 +32,7 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
