@@ -3,13 +3,17 @@ slices, dictionary-coded words, document order buckets, bounded samples."""
 
 from __future__ import annotations
 
+import atexit
+import os
 import re
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import fresh_dir
@@ -17,8 +21,28 @@ from ledgerline.session import fresh_dir
 SLICE_BYTES = 4 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives the executors this package, once for each application (as
+    ``--py-files`` would), so that tasks can import it wherever they run."""
+    import ledgerline
+
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(ledgerline.__file__)))
+    if os.path.isdir(top):
+        folder = tempfile.mkdtemp(prefix="ledgerline-code-")   # the driver serves the file from here
+        atexit.register(shutil.rmtree, folder, True)
+        context.addPyFile(shutil.make_archive(os.path.join(folder, "ledgerline_code"), "zip", top, "ledgerline"))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, by a path that only Spark needs to understand."""
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,7 +76,17 @@ def ascii_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     Returns (code per word, first word of each text plus the total, distinct
     words).  Other Unicode white space belongs to words.
     """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    codes, first, words = _coded(pc.ascii_split_whitespace(pc.ascii_lower(texts)))
+    return codes, first, words.cast(pa.binary()).to_pylist()
+
+
+def unicode_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """As ``ascii_words``, lower-cased and cut by the rules of Unicode."""
+    codes, first, words = _coded(pc.utf8_split_whitespace(pc.utf8_lower(texts)))
+    return codes, first, words.to_pylist()
+
+
+def _coded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     words = lists.flatten()
     lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     # Leading and trailing white space leaves empty pieces.
@@ -63,7 +97,72 @@ def ascii_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         lens = np.bincount(doc, minlength=len(lens)).astype(np.int64)
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return codes, np.concatenate([[0], np.cumsum(lens)]), coded.dictionary.cast(pa.binary()).to_pylist()
+    return codes, np.concatenate([[0], np.cumsum(lens)]), coded.dictionary
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers that spreads every bit (in place)."""
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
+
+
+_EDGES = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+
+
+def subwords(words: list[str], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed character n-grams of words, marked as <word> without ASCII
+    punctuation at their edges: (bucket, index of the word), by word."""
+    marked = [f"<{w.strip(_EDGES)}>" for w in words]
+    lens = np.fromiter(map(len, marked), np.int64, len(marked))
+    chars = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), lens)
+    grams, owners = [], []
+    for n in sizes:
+        if len(chars) < n:
+            continue
+        m = len(chars) - n + 1
+        h = np.full(m, n, np.uint64)
+        for j in range(n):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + chars[j:j + m]
+        inside = owner[:m] == owner[n - 1:]
+        grams.append((mix64(h[inside]) >> np.uint64(64 - bits)).astype(np.int64))
+        owners.append(owner[:m][inside])
+    grams = np.concatenate(grams) if grams else np.empty(0, np.int64)
+    owners = np.concatenate(owners) if owners else np.empty(0, np.int64)
+    order = np.argsort(owners, kind="stable")
+    return grams[order], owners[order]
+
+
+class WordMargins:
+    """Mean subword weight of words under one or more linear models, remembered
+    for up to ``limit`` words (emptied between slices beyond it)."""
+
+    def __init__(self, weights: np.ndarray, sizes: tuple[int, ...], limit: int = 300_000):
+        self.weights, self.sizes, self.limit = weights, sizes, limit
+        self.bits = int(weights.shape[0]).bit_length() - 1
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((0, weights.shape[1]), np.float32)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > self.limit:
+            self.known, self.rows = {}, self.rows[:0]
+        new = [w for w in words if w not in self.known]
+        parts = [self.rows]
+        for at in range(0, len(new), 50_000):
+            chunk = new[at:at + 50_000]
+            grams, owner = subwords(chunk, self.sizes, self.bits)
+            count = np.maximum(np.bincount(owner, minlength=len(chunk)), 1)
+            parts.append(np.stack(
+                [np.bincount(owner, weights=self.weights[grams, k], minlength=len(chunk)) / count
+                 for k in range(self.weights.shape[1])], axis=1).astype(np.float32))
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.rows = np.concatenate(parts)
+        return self.rows[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
 
 _JOINED = r" (?:[\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)"
@@ -166,8 +265,26 @@ def fold(doc_id: str):
 
 def bounded_sample(rows: DataFrame, by: str, at_most: int) -> DataFrame:
     """At most ``at_most`` rows for each value of ``by``, the first by a hash of
-    doc_id: the same rows at every layout, ranked before anything is moved."""
-    from pyspark.sql import Window
-
+    doc_id: the same rows at every layout, cut down before anything is moved."""
     order = Window.partitionBy(by).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id")
     return rows.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= at_most).drop("__rank")
+
+
+def fitted(samples: DataFrame, docs: DataFrame, label: str, fit) -> bytes:
+    """The model that ``fit`` makes of a bounded sample (doc_id, label) with
+    the texts of ``docs``, fitted in one task; only the model reaches the driver.
+
+    ``fit`` takes an iterator of (text, label) in doc_id order and returns bytes.
+    """
+    rows = (docs.select("doc_id", "text").join(F.broadcast(samples), "doc_id")
+            .select("doc_id", "text", F.col(label).cast("string").alias("label"))
+            .repartition(1).sortWithinPartitions("doc_id", F.xxhash64("text")))
+
+    def run(batches):
+        def pairs():
+            for part in text_slices(batches, "text"):
+                yield from zip(part.column(1).to_pylist(), part.column(2).to_pylist())
+
+        yield pa.RecordBatch.from_arrays([pa.array([fit(pairs())], pa.binary())], ["model"])
+
+    return bytes(rows.mapInArrow(run, "model binary").first()["model"])

@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, licenses, packing
-from ledgerline.llm.common import table
+from ledgerline.llm import bpe, langid, licenses, neardup, packing, topk, toxicity
+from ledgerline.llm.common import fold, table
 
 BPE_JSON = "byte_bpe_50k.json"
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every row whose id is divisible by 20."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_JSON))
@@ -27,15 +32,52 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and survivor flag of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored by a model of the labelled rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases, tags and expressions in every text."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_topk": op1_topk,
     "op3_packing": op3_packing,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op8_toxicity": op8_toxicity,
+    "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+WHERE rank <= 20""",
+}
