@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, langid, licenses, neardup, packing, topk, toxicity
+from ledgerline.llm import bpe, chat, langid, licenses, neardup, packing, pages, topk, toxicity, winnow
 from ledgerline.llm.common import fold, table
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -18,6 +18,11 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return winnow.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_JSON))
@@ -37,6 +42,22 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back; conversation -1 says control strings."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"),
+                                                        F.col("turn").cast("long").alias("turn"), "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    odd = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                "conv_id long, turn long, role string, text string")
+    turns = rows.unionByName(odd).withColumn("parts", chat.text_part("text"))
+    return chat.read_back(chat.format_turns(turns))
+
+
+def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text scored by a model of the labelled rows outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,14 +79,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over ``documents``."""
+    import corpus_pipeline          # it imports this module's operators in turn
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_topk": op1_topk,
+    "op2_winnowing": op2_winnowing,
     "op3_packing": op3_packing,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_chat": op6_chat,
+    "op7_pages": op7_pages,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
@@ -80,4 +112,17 @@ s AS (
 SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 WHERE rank <= 20""",
+    "op6_chat": r"""
+WITH t AS (
+  SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
+      + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id""",
 }
