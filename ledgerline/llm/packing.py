@@ -96,7 +96,7 @@ class Packer:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         self.window, self.end_id, self.penalties, self.long_gap = window, end_id, penalties, long_gap
-        self.units = UnitIds(self.encode_units)
+        self.units = UnitIds(self.encode_units, limit=600_000)
         size = max(self.tokenizer.get_vocab_size(), end_id + 1)
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         # Byte-level vocabularies write space, tab, LF and CR as these letters.
@@ -104,11 +104,33 @@ class Packer:
         self.closes = np.array([s.endswith((".", "!", "?")) for s in names])
         self.breaks = np.array([s.endswith("Ċ") for s in names])
         self.opens[end_id] = True
+        # One letter of a byte-level token stands for one byte.
+        self.bytes_of = np.array([len(s) for s in names], np.int64)
 
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        lens = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter((x for ids in got for x in ids), np.uint32, int(lens.sum())), lens
+        """Ids of the units in order, and the number of ids of each.
+
+        Units that start at a space and end without one are encoded as one
+        running text (a cut before such a space is none for the tokenizer);
+        the byte lengths of the tokens tell where each unit ends.
+        """
+        runs = [u[0:1] == " " and not u[1:2].isspace() and not u[-1].isspace() for u in units]
+        joined = [u for u, ok in zip(units, runs) if ok]
+        texts = ["".join(joined[k:k + 2000]) for k in range(0, len(joined), 2000)]
+        single = [u for u, ok in zip(units, runs) if not ok]
+        got = self.tokenizer.encode_batch_fast(texts + single, add_special_tokens=False)
+        flat = [np.array(e.ids, np.uint32) for e in got]
+        ids = np.concatenate(flat[:len(texts)] or [np.empty(0, np.uint32)])
+        lens = np.zeros(len(units), np.int64)
+        ends = np.cumsum([len(u.encode()) for u in joined])
+        lens[runs] = np.bincount(np.searchsorted(ends, np.cumsum(self.bytes_of[ids]), "left"), minlength=len(joined))
+        alone = np.flatnonzero(~np.array(runs, bool))
+        lens[alone] = [len(x) for x in flat[len(texts):]]
+        if len(alone):
+            # Put the ids of both kinds in the order of the units.
+            owner = np.concatenate([np.repeat(np.flatnonzero(runs), lens[runs]), np.repeat(alone, lens[alone])])
+            ids = np.concatenate([ids, *flat[len(texts):]])[np.argsort(owner, kind="stable")]
+        return ids, lens
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         codes, values = space_units(texts)
