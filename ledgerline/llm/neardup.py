@@ -11,16 +11,21 @@ follow the links.
    circularly by k, gives coordinate k of the signature.
 2. Documents with one word sequence form a class; its smallest doc_id stands
    for it, so copies never meet each other.
-3. In every bucket of a band the smallest document is compared with each
-   other member: a bucket of n members yields n - 1 pairs.
+3. Every bucket of a band has a head, the member that meets most others over
+   all its buckets (of a group of copies, the one nearest to all); it is
+   compared with each other member: a bucket of n members yields n - 1 pairs.
 4. Candidate pairs are verified on the full sets of both texts, streamed by
-   their smaller document; its members are dealt over several tasks.
+   the head; its members are dealt over several tasks.
 5. What step 3 leaves open are pairs of members that both differ from their
-   bucket's smallest document.  Those already in one component need no test;
-   the Jaccard distance obeys the triangle inequality, so pairs whose
-   distances to that document differ by more than 0.25 can't be linked; the
-   rest is verified in the same way.  No link inside a bucket is lost, and a
-   large group of near copies stays linear.
+   bucket's head.  Those already in one component need no test.
+   The Jaccard distance obeys the triangle inequality, so pairs whose
+   distances to the head differ by more than 0.25 can't be linked.  An
+   intersection is no larger than the smaller side's number of shingles that
+   more than ``RARE`` open documents hold, plus the rarer ones that both hold
+   (found by a join on them, at most ``RARE`` partners each), so strongly
+   edited copies of one text drop out as well.  The rest is verified in the
+   same way: no link inside a bucket is lost, and a large group of near copies
+   stays nearly linear.
 6. Components by alternating large-star and small-star steps on the links.
 
 With ``BANDS`` bands of ``ROWS`` rows a pair at the threshold shares no bucket
@@ -47,7 +52,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import ascii_words, mix64, text_slices, written
 
 SHINGLE, BANDS, ROWS = 5, 40, 5
-MEMBERS_PER_TASK = 500
+MEMBERS_PER_TASK, RARE = 500, 8
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -125,7 +130,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verify(docs: DataFrame, pairs: DataFrame, pairs_are_many: bool = True) -> DataFrame:
     """(a, b, common, either) of distinct pairs (a, b) of doc_ids: sizes of the
     intersection and the union of their full sets.
 
@@ -141,6 +146,10 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         per_a.select(F.col("a").alias("doc_id"), "a",
                      F.explode(F.sequence(F.lit(0).cast("long"), tasks - 1)).alias("task"),
                      F.lit(0).alias("role")))
+    # Written first: its size is then known, and few pairs need no shuffle of the texts.
+    wanted = written(wanted, "wanted")
+    if pairs_are_many:                                  # the same plan at every size
+        wanted = wanted.hint("merge")
     rows = (docs.join(wanted, "doc_id").select("a", "task", "role", "doc_id", "text")
             .repartition("a", "task").sortWithinPartitions("a", "task", "role", "doc_id"))
 
@@ -198,6 +207,23 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         step.select(F.col("v").alias("doc_id"), F.col("v").alias("component_id")).distinct())
 
 
+def open_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingle, df) of the documents of ``ids``, with the number of them
+    that hold the shingle; shingles of one document only are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text"):
+            sets = shingle_sets(part.column(1))
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(owner)), pa.array(np.concatenate(sets).astype(np.int64))],
+                ["id", "shingle"])
+
+    rows = written(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").select("doc_id", "text").mapInArrow(
+        run, "id long, shingle long"), "shingles")
+    return rows.join(rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "shingle")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -206,13 +232,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
                .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")))
     texts = docs.where("doc_id IS NOT NULL")
     banded = classes.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
-    heads = banded.groupBy("key").agg(F.min("id").alias("head"), F.min_by("n", "id").alias("head_n"),
-                                      F.count("*").alias("members"))
-    buckets = written(banded.join(heads.where("members > 1"), "key"), "buckets")
+    shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    multi = written(banded.join(shared, "key"), "buckets")
+    # A little edited copy meets more of its kind than a strongly edited one.
+    weights = multi.groupBy("id").agg(F.sum("members").alias("weight"))
+    heads = multi.join(weights, "id").groupBy("key").agg(
+        F.max_by("id", F.struct("weight", -F.col("id"))).alias("head"))
+    buckets = written(multi.join(heads, "key"), "headed")
+    sizes = buckets.where("id = head").select("head", F.col("n").alias("head_n")).distinct()
+
     # Sets whose sizes differ more can't reach the threshold.
     alike = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    first = buckets.where((F.col("id") != F.col("head")) & alike(F.col("n"), F.col("head_n"))).select(
-        F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    first = written(buckets.where("id <> head").select("head", "id", "n").distinct().join(sizes, "head")
+                    .where(alike(F.col("n"), F.col("head_n"))).select(F.col("head").alias("a"), F.col("id").alias("b"))
+                    .distinct(), "pairs")
     tested = written(verify(texts, first), "tested")
     linked = F.expr(f"100 * common >= {percent} * either")
     labels = written(components(tested.where(linked)), "labels")
@@ -226,19 +259,38 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
                         (1 - F.col("common") / F.col("either")).alias("d"))
     # Untested against the head means too different in size: at least this far.
     least_far = 1 - F.least("n", "head_n") / F.greatest("n", "head_n")
-    still = written(members.join(mixed.select("key"), "key").join(far, ["head", "id"], "left").select(
+    still = written(members.join(mixed.select("key"), "key").join(sizes, "head").join(far, ["head", "id"], "left").select(
         "key", "id", "n", "label", F.coalesce("d", least_far).alias("d"), F.col("d").isNotNull().alias("exact")), "open")
+    shingles = written(open_shingles(texts, written(still.select("id").distinct(), "open-ids")), "open-shingles")
+    # No intersection is larger than the smaller number of common shingles plus the shared rare ones.
+    common = shingles.where(F.col("df") > RARE).groupBy("id").agg(F.count("*").alias("common"))
+    still = still.join(common, "id", "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    # A pair that shares several buckets is met in the smallest of them only.
+    places = still.groupBy("id").agg(F.collect_set("key").alias("places"))
+    still = still.join(places, "id")
     limit = 1 - percent / 100 + 1e-9
-    left, right = (still.select("key", *(F.col(c).alias(f"{c}{k}") for c in ("id", "n", "label", "d", "exact")))
+    reaches = lambda most, x, y: 100 * most >= percent * (x + y - most)
+    left, right = (still.select("key", *(F.col(c).alias(f"{c}{k}") for c in ("id", "n", "label", "d", "exact", "common", "places")))
                    for k in (1, 2))
+    differ = (F.col("label1") != F.col("label2")) & alike(F.col("n1"), F.col("n2"))
     second = (left.join(right, "key").where(
-        (F.col("id1") < F.col("id2")) & (F.col("label1") != F.col("label2")) & alike(F.col("n1"), F.col("n2"))
+        (F.col("id1") < F.col("id2")) & differ & reaches(F.least("common1", "common2"), F.col("n1"), F.col("n2"))
         & ~(F.col("exact1") & (F.col("d2") - F.col("d1") > limit))
-        & ~(F.col("exact2") & (F.col("d1") - F.col("d2") > limit)))
-        .select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct())
+        & ~(F.col("exact2") & (F.col("d1") - F.col("d2") > limit))
+        & (F.array_min(F.array_intersect("places1", "places2")) == F.col("key")))
+        .select(F.col("id1").alias("a"), F.col("id2").alias("b")))
+    rare = shingles.where(F.col("df") <= RARE).select("shingle", "id")
+    both = (rare.withColumnRenamed("id", "id1").join(rare.withColumnRenamed("id", "id2"), "shingle")
+            .where("id1 < id2").groupBy("id1", "id2").agg(F.count("*").alias("r")))
+    facts = still.select("id", "n", "label", "common").distinct()
+    for k in (1, 2):
+        both = both.join(facts.select(*(F.col(c).alias(f"{c}{k}") for c in ("id", "n", "label", "common"))), f"id{k}")
+    second = second.unionByName(both.where(differ & reaches(
+        F.least("common1", "common2") + F.col("r"), F.col("n1"), F.col("n2")))
+        .select(F.col("id1").alias("a"), F.col("id2").alias("b"))).distinct()
     second = written(second.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "second")
     if not second.isEmpty():
-        again = written(verify(texts, second).where(linked), "tested")
+        again = written(verify(texts, second, False).where(linked), "tested")
         if not again.isEmpty():
             labels = written(components(tested.where(linked).select("a", "b").unionByName(again.select("a", "b"))), "labels")
 
