@@ -295,4 +295,5 @@ def fitted(samples: DataFrame, docs: DataFrame, label: str, fit) -> bytes:
 
         yield pa.RecordBatch.from_arrays([pa.array([fit(pairs())], pa.binary())], ["model"])
 
-    return bytes(rows.mapInArrow(run, "model binary").first()["model"])
+    model = rows.mapInArrow(run, "model binary").first()    # no rows may mean no task at all
+    return bytes(model["model"]) if model else fit(iter(()))

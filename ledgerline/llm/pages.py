@@ -16,7 +16,7 @@ are left out.
 
 Pages are dealt by ranges of (host, path, page_id) and streamed in order, one
 page and its neighbour's line hashes at a time.  A page's neighbour is the page
-before it, for the first page of a range the one after it.
+before it, for the first page of a host or of a range the one after it.
 
 Defined cases: null html counts as empty and gives empty text; a null or odd
 URL counts as an empty host and path; the only page of a host is aligned with
@@ -174,7 +174,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None                                  # (host, line hashes) of the page before
-        waiting = None                                 # the first page, until its successor is known
+        waiting = None                                 # the first page of a host, until its successor is known
         for part in text_slices(batches, "html"):
             out = []
             ids, urls, hosts = part.column(0), part.column(1), part.column(3).to_pylist()
@@ -182,14 +182,14 @@ def extract(pages: DataFrame) -> DataFrame:
                 lines = page_lines(html)
                 hashes = [hash(x) for x, _ in lines]
                 page = (ids[i].as_py(), urls[i].as_py(), lines)
-                if before is None:
-                    waiting = page
+                near = before is not None and hosts[i] == before[0]
+                if waiting:
+                    out.append((*waiting[:2], *main_text(waiting[2], hashes if near else [])))
+                    waiting = None
+                if near:
+                    out.append((*page[:2], *main_text(lines, before[1])))
                 else:
-                    near = hosts[i] == before[0]
-                    if waiting:
-                        out.append((*waiting[:2], *main_text(waiting[2], hashes if near else [])))
-                        waiting = None
-                    out.append((*page[:2], *main_text(lines, before[1] if near else [])))
+                    waiting = page
                 before = (hosts[i], hashes)
             yield _rows(out, ids.type)
         if waiting:

@@ -1,0 +1,17 @@
+import pytest
+
+from ledgerline.llm.common import ship_code
+
+
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    ship_code(spark)
+
+
+@pytest.fixture
+def documents(spark):
+    """Rows (doc_id, text, lang) with a column whose name clashes with results."""
+    def make(rows):
+        return spark.createDataFrame([(i, t, lang, "src", "x") for i, t, lang in rows],
+                                     "doc_id long, text string, lang string, source string, score string")
+    return make
