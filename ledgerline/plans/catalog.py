@@ -25,7 +25,7 @@ from ledgerline.functions import clean_watermark
 from ledgerline.operators import checks, flatten, join, metrics, people
 from ledgerline.plans import control
 from ledgerline.plans.oracles import NEW_YORK, RUN_TS
-from ledgerline.plans.runs import LoadSettings, read_target, run_load
+from ledgerline.plans.runs import LoadSettings, read_published, run_load
 from ledgerline.session import fresh_dir
 from ledgerline.sinks import parquet as pq
 from ledgerline.sources import fixtures, inline_rows, land_driver_report, read_parquet, read_report
@@ -39,6 +39,10 @@ _SCENARIO_LOCK = threading.Lock()
 
 # ------------------------------------------------------------------ helpers
 
+# What the item side of the report needs: the invoice's id and whole items.
+_ITEM_PAGES = schemas.page_schema(("id",), None)
+
+
 def _pages(spark: SparkSession, sf_dir: str, headers_only: bool = False, schema=None) -> DataFrame:
     """Landed pages.  Catalyst does not prune nested JSON fields, so queries
     that need only some fields pass a narrower schema themselves (see
@@ -105,8 +109,8 @@ def _full_scenario(spark: SparkSession, sf_dir: str) -> LoadSettings:
 def _incremental_scenario(spark: SparkSession, sf_dir: str, crash: bool = False) -> LoadSettings:
     """Seed, full load of the first half, incremental load of the whole report.
 
-    With ``crash`` the incremental run stops once after writing the target
-    (before the control update) and is then run again.
+    With ``crash`` an earlier attempt of the incremental run has left other
+    rows in its partition without being published.
     """
     def build():
         half = _half_mark(spark, sf_dir)
@@ -116,7 +120,8 @@ def _incremental_scenario(spark: SparkSession, sf_dir: str, crash: bool = False)
         run_load(spark, s, run_ts=RUN_TS)
         s2 = replace(s, report_path=land_driver_report(spark, sf_dir))
         if crash:
-            run_load(spark, s2, run_ts=RUN_TS, stop_after_write=True)
+            stale = read_published(spark, s).drop(pq.RUN_COLUMN)
+            pq.write_run_partition(stale, s.target_path, 2)
         run_load(spark, s2, run_ts=RUN_TS)
         return s2
     return _memo(("incremental", crash, sf_dir, id(spark.sparkContext)), build)
@@ -161,7 +166,7 @@ def project_invoices(spark, sf_dir):
 
 def project_items(spark, sf_dir):
     """PRJ-04 + PRJ-06 + TYP-01."""
-    return flatten.project_items(_flat(spark, sf_dir))
+    return flatten.project_items(_flat(spark, sf_dir, schema=_ITEM_PAGES))
 
 
 def format_epoch_tz(spark, sf_dir):
@@ -190,8 +195,8 @@ def full_load_bypass(spark, sf_dir):
 
 def join_invoice_items(spark, sf_dir):
     """JON-01 + PRJ-07 as the relational join of the two projections."""
-    flat = _flat(spark, sf_dir)
-    return join.join_invoice_items(flatten.project_invoices(flat), flatten.project_items(flat))
+    return join.join_invoice_items(flatten.project_invoices(_flat(spark, sf_dir, headers_only=True)),
+                                   flatten.project_items(_flat(spark, sf_dir, schema=_ITEM_PAGES)))
 
 
 def join_invoice_items_nested(spark, sf_dir):
@@ -211,7 +216,7 @@ def join_invoice_items_left(spark, sf_dir):
 
 def explode_items_outer(spark, sf_dir):
     """PRJ-03 option: invoices without items keep one row of NULL item fields."""
-    return flatten.project_items(_flat(spark, sf_dir), outer=True)
+    return flatten.project_items(_flat(spark, sf_dir, schema=_ITEM_PAGES), outer=True)
 
 
 def max_invoice_id(spark, sf_dir):
@@ -247,9 +252,9 @@ def parquet_roundtrip(spark, sf_dir):
 
 
 def parquet_single_file(spark, sf_dir):
-    """SNK-04: a small table written as one file (size-checked) and read back."""
+    """SNK-04: a table written as one file, as asked for, and read back."""
     path = fresh_dir(spark, "single")
-    pq.write_single_file(_employee_report(spark, sf_dir), path)
+    pq.write_files(_employee_report(spark, sf_dir), path, n_files=1)
     return read_parquet(spark, path)
 
 
@@ -262,7 +267,7 @@ def ensure_table(spark, sf_dir):
     return read_parquet(spark, path, schemas.INVOICE_DATA_DDL)
 
 
-# Display labels of the invoice statuses.
+# Display labels of the invoice statuses (our own choice).
 STATUS_LABELS = [
     ("paid", "Paid", False),
     ("payment_due", "Payment due", True),
@@ -343,7 +348,7 @@ def reconcile(spark, sf_dir):
 
 def flatten_report(spark, sf_dir):
     """FLOW-01: flat set summary by status."""
-    flat, _, _ = flatten.load_invoices(_pages(spark, sf_dir))
+    flat = _flat(spark, sf_dir, schema=schemas.page_schema(("status", "total"), ("id",)))
     inv = F.col(flatten.INV)
     return flat.groupBy(inv["status"].alias("status")).agg(
         F.count(F.lit(1)).alias("n_invoices"),
@@ -353,17 +358,17 @@ def flatten_report(spark, sf_dir):
 
 def load_full(spark, sf_dir):
     """FLOW-02: seed, full load; the target table."""
-    return read_target(spark, _full_scenario(spark, sf_dir).target_path)
+    return read_published(spark, _full_scenario(spark, sf_dir))
 
 
 def load_incremental(spark, sf_dir):
     """FLOW-03: full load of the first half, then an incremental run; the target."""
-    return read_target(spark, _incremental_scenario(spark, sf_dir).target_path)
+    return read_published(spark, _incremental_scenario(spark, sf_dir))
 
 
 def load_replay(spark, sf_dir):
     """FLOW-03 with a crash after the write and a retry: no duplicates."""
-    return read_target(spark, _incremental_scenario(spark, sf_dir, crash=True).target_path)
+    return read_published(spark, _incremental_scenario(spark, sf_dir, crash=True))
 
 
 def stream_ingest(spark, sf_dir):

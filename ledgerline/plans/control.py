@@ -3,10 +3,12 @@
 The reference keeps one row per run in a SQLite table and changes it with an
 UPDATE and an INSERT on two separate connections; a crash between them leaves
 no active row.  Parquet has no UPDATE, so here the table is a series of
-immutable snapshots ``<path>/v=<n>``; a run publishes the next snapshot with
-the close and the open applied together, and the current table is the
-highest snapshot whose ``_SUCCESS`` marker exists.  A crash before the marker
-leaves the previous snapshot current.
+immutable snapshots.  A run writes the close and the open together to a folder
+of its own, then creates the marker file ``<path>/v=<n>`` that names the
+folder, with n one more than the version it started from.  The marker is
+created exclusively, so of two runs that started from one version the second
+fails with ``FileExistsError`` and changes nothing.  A crash before the marker
+leaves the previous version current.
 
 The table holds one row per run, so each snapshot is a single small file.
 Its transitions are plain DataFrame expressions (``when``, ``unionByName``,
@@ -15,12 +17,14 @@ a global ``max``), so they can be checked like any other query.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import run_timestamp
-from ledgerline.session import list_children, path_exists
+from ledgerline.session import create_exclusive, list_children
 
 # Fixed values of the control table.
 ETL_NAME = "invoice-data"
@@ -109,48 +113,42 @@ class RunHistory:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _version_path(self, n: int) -> str:
+    def _marker(self, n: int) -> str:
         return f"{self.path}/v={n:08d}"
 
-    def _versions(self) -> list[int]:
-        """Every snapshot folder number, complete or not."""
-        return sorted(int(n[2:]) for n in list_children(self.spark, self.path)
-                      if n.startswith("v=") and n[2:].isdigit())
-
     def current_version(self) -> int | None:
-        """The highest snapshot whose ``_SUCCESS`` marker exists."""
-        for n in reversed(self._versions()):
-            if path_exists(self.spark, f"{self._version_path(n)}/_SUCCESS"):
-                return n
-        return None
-
-    def table(self) -> DataFrame:
-        """The current snapshot (empty, typed, when nothing was published yet)."""
-        v = self.current_version()
+        """The highest published version."""
+        found = [int(n[2:]) for n in list_children(self.spark, self.path)
+                 if n.startswith("v=") and n[2:].isdigit()]
+        return max(found, default=None)
+
+    def table(self, version: int | None = None) -> DataFrame:
+        """The current (or given) version; empty and typed when there is none."""
+        v = self.current_version() if version is None else version
         if v is None:
             return self.spark.createDataFrame([], schemas.HISTORY)
-        return self.spark.read.schema(schemas.HISTORY).parquet(self._version_path(v))
+        folder = self.spark.read.text(self._marker(v)).first()["value"]
+        return self.spark.read.schema(schemas.HISTORY).parquet(f"{self.path}/snapshots/{folder}")
 
-    def publish(self, df: DataFrame) -> int:
-        """Write ``df`` as the next snapshot; returns its version number.
+    def publish(self, df: DataFrame, based_on: int | None = None) -> int:
+        """Publish ``df``, derived from version ``based_on`` (the current one when
+        not given, 0 for none), as the next version.
 
-        The number goes past every existing folder, including an incomplete
-        one left by a crash, and an existing folder is never overwritten: of
-        two runs racing for the same number, one fails instead of silently
-        replacing the other's snapshot.
+        Raises FileExistsError when another run has published in between.
         """
-        versions = self._versions()
-        n = (versions[-1] if versions else 0) + 1
+        n = ((self.current_version() or 0) if based_on is None else based_on) + 1
         out = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.HISTORY.fields])
+        folder = uuid.uuid4().hex
         # One small file per snapshot: one row per run, bounded by the run count.
-        out.coalesce(1).write.mode("errorifexists").parquet(self._version_path(n))
+        out.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/snapshots/{folder}")
+        create_exclusive(self.spark, self._marker(n), folder)
         return n
 
     def seed(self, etl_name: str = ETL_NAME, run_ts: int | None = None) -> bool:
         """Create the table with its seed row unless it exists (CTL-03)."""
         if self.current_version() is not None:
             return False
-        self.publish(seed_rows(self.spark, etl_name, run_ts))
+        self.publish(seed_rows(self.spark, etl_name, run_ts), 0)
         return True
 
     def active_run(self, etl_name: str = ETL_NAME) -> DataFrame:
@@ -158,6 +156,10 @@ class RunHistory:
         return newest(active_runs(self.table(), etl_name))
 
     def close_and_open(self, run_id: int, mark, etl_name: str = ETL_NAME,
-                       run_ts: int | None = None) -> int:
-        """CTL-01 + CTL-02 as one published snapshot."""
-        return self.publish(open_run(close_run(self.table(), run_id), mark, etl_name, run_ts))
+                       run_ts: int | None = None, based_on: int | None = None) -> int:
+        """CTL-01 + CTL-02 as one published snapshot.
+
+        ``based_on``: the version the run started from; a run that another one
+        has overtaken since then fails here."""
+        version = self.current_version() if based_on is None else based_on
+        return self.publish(open_run(close_run(self.table(version), run_id), mark, etl_name, run_ts), version or 0)

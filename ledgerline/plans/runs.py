@@ -10,10 +10,15 @@ One call of ``run_load`` is one run of the job:
    unique, and the new mark (numeric max id of this run); stop if the run
    selected nothing (the control table stays as it is);
 5. join invoices and items from the lake (without a shuffle when ids are
-   unique) and write the target, partition ``run_id``: a full load replaces
-   the table, an incremental load replaces only its own partition, so a
-   retried run never duplicates rows;
+   unique) and write the target, partition ``run_id``: a retried run replaces
+   its own partition and no other;
 6. publish the next control snapshot with the close and the open together.
+   Only now readers see the run (``read_published``): a full load takes the
+   place of all earlier runs at this moment, a failed one changes nothing.
+
+Invoices whose id is no integer can't be compared with a mark; a delta writes
+them to the rejects folder of the lake, so target and rejects together hold
+everything the run selected.
 
 The report is parsed once; everything after step 3 reads columnar Parquet,
 so the id profile scans one nested column and the join the rest.
@@ -30,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.functions import numeric_id, parse_watermark
 from ledgerline.functions.dates import DEFAULT_TZ
-from ledgerline.operators.flatten import explode_invoices_since
+from ledgerline.operators.flatten import explode_invoices, explode_invoices_since, reject_non_numeric
 from ledgerline.operators.join import id_profile, join_flat
 from ledgerline.plans.control import (
     ACTION_DELTA, ACTION_FULL, ACTION_NOOP, ACTION_SKIP, ETL_NAME, RunHistory, with_action,
@@ -78,7 +83,7 @@ class DuplicateInvoiceIds(ValueError):
 class RunOutcome:
     action: str
     run_id: int | None
-    status: str            # skipped | noop | empty | written | stopped
+    status: str            # skipped | noop | empty | written
     mark: int | None = None
     # Invoices whose id is not an integer: a delta leaves them out, a full
     # load writes them, and they never count in the mark.  NULL when the run
@@ -111,10 +116,32 @@ def read_target(spark: SparkSession, target_path: str) -> DataFrame:
     return spark.read.schema(with_run_column(schemas.INVOICE_DATA_DDL)).parquet(target_path)
 
 
-def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
-             stop_after_write: bool = False) -> RunOutcome:
-    """Run the job once; ``stop_after_write`` simulates a crash after step 5."""
+def read_published(spark: SparkSession, s: LoadSettings) -> DataFrame:
+    """The target as the control table publishes it: the newest closed full load
+    and the closed runs after it.  Attempts in progress, failed or replaced by
+    a later full load are left out by partition pruning."""
+    closed = RunHistory(spark, s.control_path).table().where(
+        (F.col("etl_name") == s.etl_name) & (F.col("is_active") != "Y"))
+    last = closed.agg(F.max("id").alias("last"), F.max(F.when(F.col("full_load") == "Y", F.col("id"))).alias("full")).first()
+    table = read_target(spark, s.target_path)
+    if last["last"] is None:
+        return table.limit(0)
+    return table.where(F.col(RUN_COLUMN).between(last["full"] or 0, last["last"]))
+
+
+def read_rejects(spark: SparkSession, s: LoadSettings) -> DataFrame:
+    """Invoices that delta runs could not compare with their mark, by run."""
+    return spark.read.schema(with_run_column(schemas.FLAT)).parquet(rejects_path(s))
+
+
+def rejects_path(s: LoadSettings) -> str:
+    return f"{s.lake_path.rstrip('/')}_rejects"
+
+
+def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None) -> RunOutcome:
+    """Run the job once."""
     history = RunHistory(spark, s.control_path)
+    version = history.current_version()
     rows = with_action(history.active_run(s.etl_name)).collect()
     if not rows:                      # no active row: the documented fallback is to skip
         return RunOutcome(ACTION_SKIP, None, "skipped")
@@ -130,8 +157,11 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
     write_run_partition(flat, s.lake_path, run_id)
     n_bad = int(observed.get["n"])
     if n_bad:
-        log.warning("run %s: %d invoices have a non-numeric id (see flatten.reject_non_numeric)",
-                    run_id, n_bad)
+        log.warning("run %s: %d invoices have a non-numeric id", run_id, n_bad)
+    if previous and previous > 0:
+        rejected = reject_non_numeric(explode_invoices(pages))
+        write_run_partition(rejected.select(*[f.name for f in schemas.FLAT.fields]) if n_bad else
+                            spark.createDataFrame([], schemas.FLAT), rejects_path(s), run_id)
     lake = read_run_partition(spark, s.lake_path, schemas.FLAT, run_id)
 
     # One pass over the lake's id column: emptiness, id uniqueness, new mark.
@@ -162,12 +192,9 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None,
             append_new_rows(spark, out, s.jdbc_url, s.jdbc_table, TARGET_KEY, s.jdbc_driver,
                             scope=F.col(RUN_COLUMN) == F.lit(run_id))
     else:
-        write_run_partition(joined, s.target_path, run_id, replace_all=(action == ACTION_FULL))
-    if stop_after_write:
-        return RunOutcome(action, run_id, "stopped", previous, n_bad)
-
+        write_run_partition(joined, s.target_path, run_id)
     if mark is None:                  # no numeric id in this run: keep the old mark
         mark = previous if previous else None
-    history.close_and_open(run_id, mark, s.etl_name, run_ts)
+    history.close_and_open(run_id, mark, s.etl_name, run_ts, based_on=version)
     log.info("run %s (%s) written, mark %s", run_id, action, mark)
     return RunOutcome(action, run_id, "written", mark, n_bad)

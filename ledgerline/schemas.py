@@ -95,6 +95,7 @@ def page_schema(invoice_fields=None, item_fields=None) -> StructType:
 # Page schema without line items: an invoice-only read never builds the item arrays.
 PAGE_HEADERS_ONLY = page_schema(item_fields=())
 
+# The column names and orders of the three tables below.
 # Flattened invoices (12 columns, in output order).
 INVOICES = StructType([
     _f("id", StringType()),

@@ -35,7 +35,7 @@ def _is_local(spark: SparkSession, sc) -> bool:
         master = None
     if not master and sc is not None:
         master = sc.master
-    return not master or master.startswith("local")
+    return bool(master) and master.startswith("local") and not master.startswith("local-cluster")
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -113,6 +113,39 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
 
 
+def create_exclusive(spark: SparkSession, path: str, content: str) -> None:
+    """Create a small file with its content; raises FileExistsError when it exists.
+
+    Of several writers exactly one succeeds where the store has an exclusive
+    create: a hard link on local and shared POSIX folders, the name node on
+    HDFS.  Object stores need conditional writes for it.
+    """
+    h = _hadoop_path(spark, path)
+    if h is None or h[0].getScheme() == "file":
+        target = _local(path) if h is None else h[1].toUri().getPath()
+        folder, name = os.path.split(target)
+        os.makedirs(folder, exist_ok=True)
+        draft = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
+        with open(draft, "w") as out:
+            out.write(content)
+        try:
+            os.link(draft, target)
+        finally:
+            os.remove(draft)
+        return
+    fs, hpath = h
+    if fs.exists(hpath):
+        raise FileExistsError(path)
+    try:
+        stream = fs.create(hpath, False)
+    except Exception as error:
+        if fs.exists(hpath):
+            raise FileExistsError(path) from error
+        raise
+    stream.write(bytearray(content.encode()))
+    stream.close()
+
+
 def file_fingerprint(spark: SparkSession, path: str) -> str:
     """Length and modification time of a file or folder, for cache keys."""
     h = _hadoop_path(spark, path)

@@ -1,12 +1,11 @@
-"""Sinks: partitioned Parquet, single-file Parquet, table creation, JDBC."""
+"""Sinks: partitioned Parquet, Parquet in a given number of files, table creation, JDBC."""
 
 from ledgerline.sinks.jdbc import append_new_rows, read_jdbc, write_jdbc
 from ledgerline.sinks.parquet import (
-    conform, ensure_table, estimated_bytes, read_run_partition, write_run_partition,
-    write_single_file,
+    conform, ensure_table, read_run_partition, write_files, write_run_partition,
 )
 
 __all__ = [
-    "append_new_rows", "conform", "ensure_table", "estimated_bytes", "read_jdbc",
-    "read_run_partition", "write_jdbc", "write_run_partition", "write_single_file",
+    "append_new_rows", "conform", "ensure_table", "read_jdbc",
+    "read_run_partition", "write_jdbc", "write_run_partition", "write_files",
 ]

@@ -1,44 +1,31 @@
 """Parquet sinks (SNK-03, SNK-04, SNK-05).
 
-Replay safety comes from partitioning by ``run_id`` and overwriting
-dynamically: a run that is retried replaces exactly its own partition and
-leaves every other run untouched, so a retry never duplicates rows and no
-anti-join of the whole target is needed.
+Replay safety comes from one folder per run (``run_id=N``): a retried run
+replaces exactly its own folder, also when it has no rows this time, and
+leaves every other run untouched, so no anti-join of the whole target is
+needed.  Which runs are part of the table is what the control table says
+(``plans.runs.read_published``): a run becomes visible when it is published.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerline.session import path_exists
-
-log = logging.getLogger(__name__)
+from ledgerline.session import list_children
 
 RUN_COLUMN = "run_id"
-# Single-file writes above this estimated size fall back to a parallel write.
-SINGLE_FILE_MAX_BYTES = 128 * 1024 * 1024
 
 
 def with_run_column(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(RUN_COLUMN, LongType(), True)])
 
 
-def write_run_partition(df: DataFrame, path: str, run_id: int, replace_all: bool = False) -> None:
-    """Write ``df`` as partition ``run_id`` of a table partitioned by run.
-
-    ``replace_all=True`` (full load) replaces the whole table; otherwise only
-    the partition of this run is replaced (dynamic partition overwrite).
-    """
-    out = df.withColumn(RUN_COLUMN, F.lit(run_id).cast("bigint"))
-    mode = "static" if replace_all else "dynamic"
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(RUN_COLUMN)
-        .parquet(path))
+def write_run_partition(df: DataFrame, path: str, run_id: int) -> None:
+    """Write ``df`` as the partition ``run_id`` of a table partitioned by run,
+    in place of what an earlier attempt of this run may have left."""
+    df.drop(RUN_COLUMN).write.mode("overwrite").parquet(f"{path}/{RUN_COLUMN}={run_id}")
 
 
 def read_run_partition(spark: SparkSession, path: str, schema: StructType, run_id: int) -> DataFrame:
@@ -47,31 +34,13 @@ def read_run_partition(spark: SparkSession, path: str, schema: StructType, run_i
     return full.where(F.col(RUN_COLUMN) == F.lit(run_id)).drop(RUN_COLUMN)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimised plan (from file sizes);
-    None when the plan cannot be inspected (Spark Connect)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:
-        return None
-    return int(size if isinstance(size, int) else size.toString())
-
-
-def write_single_file(df: DataFrame, path: str, max_bytes: int = SINGLE_FILE_MAX_BYTES) -> bool:
-    """Overwrite ``path`` with one Parquet file when the data is small (SNK-04).
+def write_files(df: DataFrame, path: str, n_files: int | None = None) -> None:
+    """Overwrite ``path``, in parallel (SNK-04).
 
-    ``coalesce(1)`` funnels all rows through one task, so it is used only
-    when Catalyst's size estimate is below ``max_bytes``; above it the write
-    stays parallel (same rows, several files).  Returns True when one file
-    was written.
+    ``n_files`` asks for at most that many files: that many tasks then carry
+    all rows, which suits fixtures and small reports, whatever their size.
     """
-    size = estimated_bytes(df)
-    single = size is not None and size <= max_bytes
-    out = df.coalesce(1) if single else df
-    if not single:
-        log.warning("single-file write of %s skipped: estimate above %d bytes", path, max_bytes)
-    out.write.mode("overwrite").parquet(path)
-    return single
+    (df.coalesce(n_files) if n_files else df).write.mode("overwrite").parquet(path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType,
@@ -82,10 +51,9 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType,
     name (``select`` in schema order), so a DataFrame's column order never
     matters.
     """
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return False
-    empty = spark.createDataFrame([], schema).coalesce(1)
-    writer = empty.write.mode("overwrite")
+    if list_children(spark, path):
+        return False                                    # never touches files that are there
+    writer = spark.createDataFrame([], schema).coalesce(1).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

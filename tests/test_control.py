@@ -60,15 +60,53 @@ def test_versions_and_partial_snapshot(spark, scratch):
     assert hist.seed(run_ts=0) is False            # idempotent
     hist.close_and_open(1, 10, run_ts=0)
     assert hist.current_version() == 2
-    # A snapshot folder without _SUCCESS (crash while publishing) is ignored.
-    spark.createDataFrame([], schemas.HISTORY).write.parquet(f"{path}/v=00000009")
-    import os
-    os.remove(f"{path}/v=00000009/_SUCCESS")
+    # A snapshot whose marker was never created (crash while publishing) is ignored.
+    spark.createDataFrame([], schemas.HISTORY).write.parquet(f"{path}/snapshots/crashed")
     assert hist.current_version() == 2
     active = hist.active_run().collect()
     assert [(r.id, r.filter_col1_value) for r in active] == [(2, "10")]
     assert hist.table().where(F.col("is_active") == "Y").count() == 1
-    # The next snapshot goes past the incomplete folder instead of reusing it.
-    assert hist.close_and_open(2, 20, run_ts=0) == 10
-    assert hist.current_version() == 10
+    assert hist.close_and_open(2, 20, run_ts=0) == 3
+    assert hist.current_version() == 3
     assert [(r.id, r.filter_col1_value) for r in hist.active_run().collect()] == [(3, "20")]
+
+
+def test_of_racing_publishers_one_wins(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    hist = control.RunHistory(spark, scratch("race"))
+    hist.seed(run_ts=0)
+
+    def publish(run_id, version):
+        try:
+            return hist.close_and_open(run_id, 1, run_ts=0, based_on=version)
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        for run_id in range(1, 13):
+            version = hist.current_version()
+            won = list(pool.map(lambda _: publish(run_id, version), range(4)))
+            assert [w for w in won if w] == [version + 1]
+    assert hist.table().where("is_active = 'Y'").count() == 1
+
+
+def test_markers_are_created_once(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ledgerline.session import create_exclusive
+
+    base = scratch("marker")
+
+    def create(path, content):
+        try:
+            create_exclusive(spark, path, content)
+            return content
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        for n in range(60):
+            path = f"{base}/v={n}"
+            won = [w for w in pool.map(lambda k: create(path, str(k)), range(8)) if w]
+            assert len(won) == 1 and spark.read.text(path).first()[0] == won[0] if n % 20 == 0 else len(won) == 1

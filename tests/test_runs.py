@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SMOKE_DIR, invoice, item, page, write_pages
 from ledgerline import schemas
 from ledgerline.plans import control
-from ledgerline.plans.runs import LoadSettings, read_target, run_load
+from ledgerline.plans.runs import LoadSettings, read_published, read_rejects, read_target, run_load
 from ledgerline.sources import land_driver_report
 
 
@@ -21,6 +21,14 @@ def _bag(df):
     return Counter(tuple(r) for r in df.drop("run_id").collect())
 
 
+def _crash(spark, s, **options):
+    """A run that dies after its writes, before it publishes."""
+    from unittest.mock import patch
+    with patch.object(control.RunHistory, "close_and_open", side_effect=RuntimeError("crash")):
+        with pytest.raises(RuntimeError, match="crash"):
+            run_load(spark, s, **options)
+
+
 def test_full_delta_empty_replay(spark, scratch):
     top = spark.read.parquet(f"{SMOKE_DIR}/orders.parquet").agg(F.max("o_orderkey")).first()[0]
     half = top // 2
@@ -32,8 +40,8 @@ def test_full_delta_empty_replay(spark, scratch):
     assert (r1.action, r1.status, r1.mark) == ("full", "written", half)
 
     s2 = replace(s, report_path=land_driver_report(spark, SMOKE_DIR))
-    crashed = run_load(spark, s2, run_ts=0, stop_after_write=True)
-    assert crashed.status == "stopped"
+    _crash(spark, s2, run_ts=0)
+    assert read_published(spark, s).select("run_id").distinct().count() == 1     # not visible yet
     r2 = run_load(spark, s2, run_ts=0)                 # retry of the same run
     assert (r2.action, r2.status, r2.mark) == ("delta", "written", top)
     r3 = run_load(spark, s2, run_ts=0)                 # nothing new
@@ -119,7 +127,7 @@ def test_jdbc_target_full_delta_replay(spark, scratch):
     control.RunHistory(spark, s.control_path).seed(run_ts=0)
     assert run_load(spark, s).status == "written"
     s2 = replace(s, report_path=land_driver_report(spark, SMOKE_DIR))
-    run_load(spark, s2, stop_after_write=True)
+    _crash(spark, s2)
     assert run_load(spark, s2).status == "written"
     from ledgerline.sinks.jdbc import read_jdbc
     got = read_jdbc(spark, url, "invoice_data", driver)
@@ -173,7 +181,7 @@ def test_empty_full_load_creates_the_target(spark, scratch, tmp_path):
     assert hist.current_version() == 1          # history untouched
 
 
-def test_non_numeric_ids_are_counted_and_left_out_of_a_delta(spark, scratch, tmp_path):
+def test_non_numeric_ids_of_a_delta_are_rejected_not_lost(spark, scratch, tmp_path):
     first = write_pages(tmp_path, [page([invoice("1"), invoice("X0")])], name="first")
     second = write_pages(tmp_path, [page([invoice("1"), invoice("2"), invoice("X1"), invoice("Y2")])],
                          name="second")
@@ -186,3 +194,42 @@ def test_non_numeric_ids_are_counted_and_left_out_of_a_delta(spark, scratch, tmp
     assert (delta.status, delta.mark, delta.non_numeric_ids) == ("written", 2, 2)
     ids = sorted(r.invoice_id for r in read_target(spark, s.target_path).collect())
     assert ids == ["1", "2", "X0"]
+    rejected = sorted(r[0] for r in read_rejects(spark, s).select("flat_invoice.invoice.id").collect())
+    assert rejected == ["X1", "Y2"]                     # with the target: all that the run selected
+
+
+def test_a_retry_that_selects_nothing_keeps_no_stale_rows(spark, scratch, tmp_path):
+    pages = lambda name, *ids: write_pages(tmp_path, [page([invoice(i) for i in ids])], name=name)
+    s = _settings(scratch, pages("a", "1", "2"))
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    run_load(spark, s)
+    _crash(spark, replace(s, report_path=pages("b", "1", "2", "3", "4")))
+    assert run_load(spark, replace(s, report_path=pages("c", "1", "2"))).status == "empty"
+    assert sorted(r.invoice_id for r in read_published(spark, s).collect()) == ["1", "2"]
+    # Once there is something new, the run's partition holds just that.
+    assert run_load(spark, replace(s, report_path=pages("d", "1", "2", "5"))).status == "written"
+    assert sorted(r.invoice_id for r in read_published(spark, s).collect()) == ["1", "2", "5"]
+
+
+def test_a_retry_that_joins_to_nothing_keeps_no_stale_rows(spark, scratch, tmp_path):
+    s = _settings(scratch, write_pages(tmp_path, [page([invoice("1")])], name="a"))
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    run_load(spark, s)
+    _crash(spark, replace(s, report_path=write_pages(tmp_path, [page([invoice("2")])], name="b")))
+    run_load(spark, replace(s, report_path=write_pages(tmp_path, [page([invoice("2", items=[])])], name="c")))
+    assert [r.invoice_id for r in read_published(spark, s).collect()] == ["1"]
+
+
+def test_a_failing_full_load_leaves_the_old_table_readable(spark, scratch, tmp_path):
+    s = _settings(scratch, write_pages(tmp_path, [page([invoice("1")])], name="a"))
+    hist = control.RunHistory(spark, s.control_path)
+    hist.seed(run_ts=0)
+    run_load(spark, s)
+    version = hist.current_version()
+    again = hist.table().withColumn("full_load", F.when(F.col("is_active") == "Y", "Y").otherwise(F.col("full_load")))
+    hist.publish(again, version)                        # the next run is a full load
+    s2 = replace(s, report_path=write_pages(tmp_path, [page([invoice("8"), invoice("9")])], name="b"))
+    _crash(spark, s2)
+    assert [r.invoice_id for r in read_published(spark, s).collect()] == ["1"]
+    run_load(spark, s2)
+    assert sorted(r.invoice_id for r in read_published(spark, s).collect()) == ["8", "9"]

@@ -12,24 +12,31 @@ def test_dynamic_run_partitions_are_replay_safe(spark, scratch):
     path = scratch("runs")
     one = spark.range(5).select(F.col("id").cast("string").alias("k"))
     two = spark.range(5, 8).select(F.col("id").cast("string").alias("k"))
-    pq.write_run_partition(one, path, 1, replace_all=True)
+    pq.write_run_partition(one, path, 1)
     pq.write_run_partition(one, path, 1)           # retried run 1
     pq.write_run_partition(two, path, 2)
     back = spark.read.parquet(path)
     assert back.count() == 8
     assert {r.run_id: r.n for r in back.groupBy("run_id").agg(F.count("*").alias("n")).collect()} == {1: 5, 2: 3}
-    pq.write_run_partition(two, path, 3, replace_all=True)   # full load replaces everything
+    pq.write_run_partition(one.limit(0), path, 1)  # a retry that selects nothing leaves nothing
     assert spark.read.parquet(path).count() == 3
 
 
-def test_single_file_write_is_size_checked(spark, scratch):
+def test_write_files_is_parallel_unless_asked_otherwise(spark, scratch):
     df = spark.range(1000).repartition(4)
-    small = scratch("one")
-    assert pq.write_single_file(df, small) is True
-    assert len([f for f in os.listdir(small) if f.endswith(".parquet")]) == 1
-    big = scratch("many")
-    assert pq.write_single_file(df, big, max_bytes=0) is False
-    assert spark.read.parquet(big).count() == 1000
+    for n_files, want in ((1, 1), (None, 4)):
+        path = scratch("files")
+        pq.write_files(df, path, n_files)
+        assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == want
+        assert spark.read.parquet(path).count() == 1000
+
+
+def test_ensure_table_keeps_a_table_without_marker(spark, scratch):
+    path = scratch("unmarked")
+    spark.range(5).write.parquet(path)
+    os.remove(f"{path}/_SUCCESS")
+    assert pq.ensure_table(spark, path, spark.range(1).schema) is False
+    assert spark.read.parquet(path).count() == 5
 
 
 def test_ensure_table_once(spark, scratch):
