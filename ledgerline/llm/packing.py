@@ -96,7 +96,8 @@ class Packer:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         self.window, self.end_id, self.penalties, self.long_gap = window, end_id, penalties, long_gap
-        self.units = UnitIds(self.encode_units, limit=600_000)
+        self.units = UnitIds(self.encode_units, limit=300_000)
+        self.words = UnitIds(self.encode_words, limit=400_000)
         size = max(self.tokenizer.get_vocab_size(), end_id + 1)
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         # Byte-level vocabularies write space, tab, LF and CR as these letters.
@@ -110,6 +111,26 @@ class Packer:
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units in order, and the number of ids of each.
 
+        Marks behind a letter or digit are a word of their own to the
+        tokenizer, so a unit is looked up as its word and its marks.
+        """
+        parts, counts = [], []
+        for u in units:
+            head = u.rstrip(".,;:!?")
+            if len(head) < len(u) and head[-1:].isalnum():
+                parts += (head, u[len(head):])
+                counts.append(2)
+            else:
+                parts.append(u)
+                counts.append(1)
+        index = self.words.index(parts)
+        owner = np.repeat(np.arange(len(units)), counts)
+        lens = np.bincount(owner, weights=self.words.lengths(index), minlength=len(units)).astype(np.int64)
+        return self.words.gather(index), lens
+
+    def encode_words(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_units``, by the tokenizer.
+
         Units that start at a space and end without one are encoded as one
         running text (a cut before such a space is none for the tokenizer);
         the byte lengths of the tokens tell where each unit ends.
