@@ -13,13 +13,27 @@ import regex
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, chat, langid, licenses, neardup, packing, pages, topk, toxicity, winnow
-from ledgerline.llm.common import space_units
+from ledgerline.llm.common import ship_code, space_units
 
 ODD = [(1, None, "en"), (2, "", None), (3, " \n ", "en"), (None, "a null id", "de"), (4, "x" * 20_000, "en"),
        (5, "one two", "en"), (5, "one two", "en"), (6, "  two  spaces \n\n kept ", ""), (7, "日本語 テスト 😀 1½", "ja"),
        (8, "it's <|endoftext|> I'll", "en"), (9, "... !!! 12", "en"), (10, "word " * 3000, "en")]
 
 
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    ship_code(spark)
+
+
+@pytest.fixture
+def documents(spark):
+    """Rows (doc_id, text, lang) with a column whose name clashes with results."""
+    def make(rows):
+        return spark.createDataFrame([(i, t, lang, "src", "x") for i, t, lang in rows],
+                                     "doc_id long, text string, lang string, source string, score string")
+    return make
+
+
 def tokenizer():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
