@@ -6,7 +6,15 @@ the executors and only their one-row results reach the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column
 from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,23 +58,20 @@ def contract_violations(df: DataFrame, not_null: list[str]) -> DataFrame:
 
     ``n_rows``, ``n_violating_rows`` and ``null_<column>`` per listed column.
     """
-    any_null = None
-    for c in not_null:
-        cond = F.col(c).isNull()
-        any_null = cond if any_null is None else (any_null | cond)
     aggs = [F.count(F.lit(1)).alias("n_rows"),
-            F.count(F.when(any_null, 1)).alias("n_violating_rows")]
+            F.count(F.when(violates(not_null), 1)).alias("n_violating_rows")]
     aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in not_null]
     return df.agg(*aggs)
 
 
+def violates(not_null: list[str]) -> Column:
+    """True where a row lacks one of the columns (never NULL)."""
+    return reduce(or_, (F.col(c).isNull() for c in not_null))
+
+
 def split_valid(df: DataFrame, not_null: list[str]):
     """(valid rows, rejected rows) by the NOT NULL contract; both lazy."""
-    ok = None
-    for c in not_null:
-        cond = F.col(c).isNotNull()
-        ok = cond if ok is None else (ok & cond)
-    return df.where(ok), df.where(~ok)
+    return df.where(~violates(not_null)), df.where(violates(not_null))
 
 
 def reconcile(actual: DataFrame, expected: DataFrame, measure: str) -> DataFrame:

@@ -28,7 +28,7 @@ from ledgerline.plans.oracles import NEW_YORK, RUN_TS
 from ledgerline.plans.runs import LoadSettings, read_published, run_load
 from ledgerline.session import fresh_dir
 from ledgerline.sinks import parquet as pq
-from ledgerline.sources import fixtures, inline_rows, land_driver_report, read_parquet, read_report
+from ledgerline.sources import fixtures, inline_rows, land_driver_report, land_pages, read_parquet, read_report
 from ledgerline.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,20 +374,20 @@ def load_replay(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """SRC-02 as a file stream: two landed fetches ingested exactly once.
 
-    The stream reads the two landed fetches (orders up to the half mark, and
-    the rest); a second availableNow run must find nothing new.
+    The second fetch lands after the first run and repeats the upper half of the
+    first one's invoices; a third availableNow run must find nothing new.
     """
     def build():
         half = _half_mark(spark, sf_dir)
-        first = land_driver_report(spark, sf_dir, max_order_key=half)
-        second = land_driver_report(spark, sf_dir, min_order_key=half + 1)
-        root = first.rsplit("/", 1)[0]
-        names = ",".join(p.rsplit("/", 1)[1] for p in (first, second))
-        source = f"{root}/{{{names}}}/*.json"
         base = fresh_dir(spark, "stream")
-        target, ckpt = f"{base}/target", f"{base}/checkpoint"
-        ingest.ingest_available(spark, source, target, ckpt)
-        if ingest.ingest_available(spark, source, target, ckpt) != 0:
+        target = f"{base}/target"
+        run = lambda: ingest.ingest_available(
+            spark, f"{base}/landing/*/*.json", target, f"{base}/checkpoint", f"{base}/lake")
+        land_pages(fixtures.report_pages(spark, sf_dir, max_order_key=half), f"{base}/landing/fetch-1")
+        run()
+        land_pages(fixtures.report_pages(spark, sf_dir, min_order_key=half // 2), f"{base}/landing/fetch-2")
+        run()
+        if run() != 0:
             raise AssertionError("a second availableNow run found files already ingested")
         return target
     target = _memo(("stream", sf_dir, id(spark.sparkContext)), build)

@@ -29,6 +29,7 @@ from ledgerline.session import create_exclusive, list_children
 # Fixed values of the control table.
 ETL_NAME = "invoice-data"
 FILTER_COLUMN = "invoice_id"
+FETCH_COLUMN = "fetch"          # our own use of the second filter
 YES, NO = "Y", "N"
 
 ACTION_SKIP, ACTION_FULL, ACTION_DELTA, ACTION_NOOP = "skip", "full", "delta", "noop"
@@ -83,8 +84,10 @@ def close_run(history: DataFrame, run_id: int) -> DataFrame:
     )
 
 
-def open_run(history: DataFrame, mark, etl_name: str = ETL_NAME, run_ts: int | None = None) -> DataFrame:
-    """Append the next run's row: active incremental load from ``mark`` (CTL-02).
+def open_run(history: DataFrame, mark, etl_name: str = ETL_NAME, run_ts: int | None = None,
+             fetch: str | None = None) -> DataFrame:
+    """Append the next run's row: active incremental load from ``mark`` (CTL-02),
+    and from the fetches after ``fetch`` when the runs follow fetch folders.
 
     The new id is ``max(id) + 1``, computed by a global aggregate over the
     table, so the new row is itself a one-row DataFrame (no driver round trip).
@@ -98,8 +101,8 @@ def open_run(history: DataFrame, mark, etl_name: str = ETL_NAME, run_ts: int | N
         run_timestamp(run_ts).alias("run_date"),
         F.lit(FILTER_COLUMN).alias("filter_col1_name"),
         F.lit(None if mark is None else str(mark)).cast("string").alias("filter_col1_value"),
-        F.lit(None).cast("string").alias("filter_col2_name"),
-        F.lit(None).cast("string").alias("filter_col2_value"),
+        F.lit(None if fetch is None else FETCH_COLUMN).cast("string").alias("filter_col2_name"),
+        F.lit(fetch).cast("string").alias("filter_col2_value"),
     )
     return history.unionByName(new_row)
 
@@ -156,10 +159,12 @@ class RunHistory:
         return newest(active_runs(self.table(), etl_name))
 
     def close_and_open(self, run_id: int, mark, etl_name: str = ETL_NAME,
-                       run_ts: int | None = None, based_on: int | None = None) -> int:
+                       run_ts: int | None = None, based_on: int | None = None,
+                       fetch: str | None = None) -> int:
         """CTL-01 + CTL-02 as one published snapshot.
 
         ``based_on``: the version the run started from; a run that another one
         has overtaken since then fails here."""
         version = self.current_version() if based_on is None else based_on
-        return self.publish(open_run(close_run(self.table(version), run_id), mark, etl_name, run_ts), version or 0)
+        return self.publish(open_run(close_run(self.table(version), run_id), mark, etl_name, run_ts, fetch),
+                            version or 0)

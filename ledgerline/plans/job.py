@@ -36,6 +36,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--null-safe", action="store_true", help="match NULL subscriptions")
     p.add_argument("--join-strategy", default="auto", choices=["auto", "nested", "shuffle"])
     p.add_argument("--multiline", action="store_true", help="one JSON document per file")
+    p.add_argument("--by-fetch", action="store_true", help="the report folder holds a folder per fetch")
     p.add_argument("--on-duplicate-ids", default="fail", choices=["fail", "join"])
     p.add_argument("--seed", action="store_true", help="create the control table if absent")
     p.add_argument("--jdbc-url", default=None)
@@ -51,7 +52,7 @@ def main(argv=None) -> dict:
         report_path=args.report, target_path=args.target, control_path=args.control,
         lake_path=args.lake, etl_name=args.etl_name, tz=args.tz, null_safe=args.null_safe,
         join_strategy=args.join_strategy, multiline=args.multiline,
-        on_duplicate_ids=args.on_duplicate_ids,
+        on_duplicate_ids=args.on_duplicate_ids, by_fetch=args.by_fetch,
         target_format="jdbc" if args.jdbc_url else "parquet", jdbc_url=args.jdbc_url,
         jdbc_table=args.jdbc_table, jdbc_driver=args.jdbc_driver,
     )

@@ -10,15 +10,20 @@ One call of ``run_load`` is one run of the job:
    unique, and the new mark (numeric max id of this run); stop if the run
    selected nothing (the control table stays as it is);
 5. join invoices and items from the lake (without a shuffle when ids are
-   unique) and write the target, partition ``run_id``: a retried run replaces
+   unique), write rows that break the NOT NULL contract to the violations
+   folder and all others to the target, partition ``run_id``: a retried run replaces
    its own partition and no other;
 6. publish the next control snapshot with the close and the open together.
    Only now readers see the run (``read_published``): a full load takes the
    place of all earlier runs at this moment, a failed one changes nothing.
 
 Invoices whose id is no integer can't be compared with a mark; a delta writes
-them to the rejects folder of the lake, so target and rejects together hold
-everything the run selected.
+them to the rejects folder of the lake, so target, rejects and violations together
+hold everything the run selected.
+
+With ``by_fetch`` the report path holds one folder per fetch.  The control row
+names the newest fetch that is loaded, and a delta reads the later ones only, so
+its work follows the new data and not the history.
 
 The report is parsed once; everything after step 3 reads columnar Parquet,
 so the id profile scans one nested column and the join the rest.
@@ -35,20 +40,19 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.functions import numeric_id, parse_watermark
 from ledgerline.functions.dates import DEFAULT_TZ
+from ledgerline.operators.checks import split_valid, violates
 from ledgerline.operators.flatten import explode_invoices, explode_invoices_since, reject_non_numeric
 from ledgerline.operators.join import id_profile, join_flat
 from ledgerline.plans.control import (
-    ACTION_DELTA, ACTION_FULL, ACTION_NOOP, ACTION_SKIP, ETL_NAME, RunHistory, with_action,
+    ACTION_DELTA, ACTION_FULL, ACTION_NOOP, ACTION_SKIP, ETL_NAME, FETCH_COLUMN, RunHistory, with_action,
 )
+from ledgerline.session import list_children, path_exists
 from ledgerline.sinks.parquet import (
     RUN_COLUMN, conform, ensure_table, read_run_partition, with_run_column, write_run_partition,
 )
 from ledgerline.sinks.jdbc import append_new_rows, write_jdbc
 from ledgerline.sources.report import read_report
 
-# Key of a target row: the invoice and the line item.
-TARGET_KEY = ["invoice_id", "id"]
-
 log = logging.getLogger(__name__)
 
 
@@ -73,6 +77,10 @@ class LoadSettings:
     jdbc_url: str | None = None
     jdbc_table: str = "invoice_data"
     jdbc_driver: str | None = None
+    # The report path holds a folder per fetch, with names that sort in the
+    # order in which the fetches land, each finished by a _SUCCESS file.  A run
+    # takes no fetch that comes after an unfinished one.
+    by_fetch: bool = False
 
 
 class DuplicateInvoiceIds(ValueError):
@@ -89,6 +97,8 @@ class RunOutcome:
     # load writes them, and they never count in the mark.  NULL when the run
     # did not read the report.
     non_numeric_ids: int | None = None
+    # Joined rows that break the NOT NULL contract (see read_violations).
+    violations: int | None = None
 
 
 def _non_numeric_count(pages: DataFrame):
@@ -134,6 +144,27 @@ def read_rejects(spark: SparkSession, s: LoadSettings) -> DataFrame:
     return spark.read.schema(with_run_column(schemas.FLAT)).parquet(rejects_path(s))
 
 
+def read_violations(spark: SparkSession, s: LoadSettings) -> DataFrame:
+    """Joined rows that break the NOT NULL contract of the target, by run."""
+    return spark.read.schema(with_run_column(schemas.INVOICE_DATA_DDL)).parquet(violations_path(s))
+
+
+def violations_path(s: LoadSettings) -> str:
+    return f"{s.lake_path.rstrip('/')}_violations"
+
+
+def fetches_after(spark: SparkSession, root: str, last: str | None) -> list[str]:
+    """Names of the finished fetch folders after ``last``, up to the first unfinished one."""
+    root, found = root.rstrip("/"), []
+    for name in sorted(list_children(spark, root)):
+        if name.startswith(("_", ".")) or (last is not None and name <= last):
+            continue
+        if not path_exists(spark, f"{root}/{name}/_SUCCESS"):
+            break
+        found.append(name)
+    return found
+
+
 def rejects_path(s: LoadSettings) -> str:
     return f"{s.lake_path.rstrip('/')}_rejects"
 
@@ -152,7 +183,13 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None) ->
 
     previous = parse_watermark(row["filter_col1_value"]) if action == ACTION_DELTA else None
 
-    pages = read_report(spark, s.report_path, multiline=s.multiline)
+    paths, fetch = s.report_path, None
+    if s.by_fetch:
+        seen = row["filter_col2_value"] if action == ACTION_DELTA and row["filter_col2_name"] == FETCH_COLUMN else None
+        names = fetches_after(spark, s.report_path, seen)
+        paths, fetch = [f"{s.report_path.rstrip('/')}/{n}" for n in names], names[-1] if names else seen
+    pages = (read_report(spark, paths, multiline=s.multiline) if paths
+             else spark.createDataFrame([], schemas.PAGE))
     flat, observed = lake_frame(pages, previous)
     write_run_partition(flat, s.lake_path, run_id)
     n_bad = int(observed.get["n"])
@@ -181,7 +218,10 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None) ->
     strategy = s.join_strategy
     if strategy == "auto":
         strategy = "nested" if unique else "shuffle"
-    joined = conform(join_flat(lake, s.tz, s.null_safe, strategy), schemas.INVOICE_DATA_DDL)
+    everything = conform(join_flat(lake, s.tz, s.null_safe, strategy), schemas.INVOICE_DATA_DDL)
+    broken = Observation()
+    joined, _ = split_valid(everything.observe(broken, F.coalesce(F.sum(F.when(
+        violates(schemas.INVOICE_DATA_NOT_NULL), 1)), F.lit(0)).alias("n")), schemas.INVOICE_DATA_NOT_NULL)
     if s.target_format == "jdbc":
         # The JDBC target carries run_id too, so a retried run checks only
         # its own earlier rows (``run_id = N`` is pushed to the database).
@@ -189,12 +229,18 @@ def run_load(spark: SparkSession, s: LoadSettings, run_ts: int | None = None) ->
         if action == ACTION_FULL:
             write_jdbc(out, s.jdbc_url, s.jdbc_table, "overwrite", s.jdbc_driver)
         else:
-            append_new_rows(spark, out, s.jdbc_url, s.jdbc_table, TARGET_KEY, s.jdbc_driver,
+            append_new_rows(spark, out, s.jdbc_url, s.jdbc_table, s.jdbc_driver,
                             scope=F.col(RUN_COLUMN) == F.lit(run_id))
     else:
         write_run_partition(joined, s.target_path, run_id)
+    n_broken = int(broken.get["n"])
+    if n_broken:
+        log.warning("run %s: %d rows break the NOT NULL contract", run_id, n_broken)
+    if n_broken or path_exists(spark, f"{violations_path(s)}/{RUN_COLUMN}={run_id}"):
+        _, invalid = split_valid(everything, schemas.INVOICE_DATA_NOT_NULL)
+        write_run_partition(invalid, violations_path(s), run_id)
     if mark is None:                  # no numeric id in this run: keep the old mark
         mark = previous if previous else None
-    history.close_and_open(run_id, mark, s.etl_name, run_ts, based_on=version)
+    history.close_and_open(run_id, mark, s.etl_name, run_ts, based_on=version, fetch=fetch)
     log.info("run %s (%s) written, mark %s", run_id, action, mark)
-    return RunOutcome(action, run_id, "written", mark, n_bad)
+    return RunOutcome(action, run_id, "written", mark, n_bad, n_broken)

@@ -2,14 +2,16 @@
 
 ``overwrite`` uses ``truncate=true`` so the table keeps its definition (a
 plain overwrite drops and recreates it from the DataFrame's schema).
-``append`` first removes rows whose key already exists in the target, so a
-retried run adds nothing; only the key columns of the target's rows in a
-given scope are read (projection and predicate are pushed to the database).
+``append_new_rows`` adds the rows that the target doesn't hold yet as often as
+they occur, so a retried run completes an insert that stopped half-way and adds
+nothing to a finished one.  Only the target's rows in a given scope are read
+(the predicate is pushed to the database).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _options(url: str, table: str, driver: str | None, extra: dict | None) -> dict:
@@ -47,20 +49,23 @@ def table_exists(spark: SparkSession, url: str, table: str, driver: str | None =
         raise
 
 
-def append_new_rows(spark: SparkSession, df: DataFrame, url: str, table: str, keys: list[str],
+def append_new_rows(spark: SparkSession, df: DataFrame, url: str, table: str,
                     driver: str | None = None, options: dict | None = None,
                     scope: Column | None = None) -> None:
-    """Append the rows of ``df`` whose key is not yet in the target (replay-safe).
+    """Append the rows of ``df`` that the target does not hold yet (replay-safe).
 
-    Only the key columns of the target are read, and only the rows matching
-    ``scope`` (e.g. ``run_id = 7``): Spark pushes both the projection and a
+    The difference is one of bags over whole rows: of a row that ``df`` holds
+    three times and the target once, two are added, and NULLs count as equal.
+    Only the rows matching ``scope`` (e.g. ``run_id = 7``) are read: Spark pushes a
     simple predicate into the database query, so a retried run reads its own
-    earlier rows, not the whole table.  A missing table is created by the
-    append.
+    earlier rows, not the whole table.  A missing table is created by the append.
+    ``options`` go to reads and writes alike (``numPartitions`` bounds the
+    connections; with ``partitionColumn``, ``lowerBound`` and ``upperBound`` the
+    read is split too).
     """
     if table_exists(spark, url, table, driver, options):
         existing = read_jdbc(spark, url, table, driver, options)
         if scope is not None:
             existing = existing.where(scope)
-        df = df.join(existing.select(*keys).distinct(), keys, "left_anti")
+        df = df.exceptAll(existing.select(*(F.col(f.name).cast(f.dataType) for f in df.schema.fields)))
     write_jdbc(df, url, table, "append", driver, options)

@@ -44,7 +44,7 @@ def _code_fingerprint() -> str:
     return h.hexdigest()[:12]
 
 
-def read_report(spark: SparkSession, path: str, schema: StructType | None = schemas.PAGE,
+def read_report(spark: SparkSession, path: str | list[str], schema: StructType | None = schemas.PAGE,
                 multiline: bool = False, mode: str = "FAILFAST",
                 with_source: bool = False) -> DataFrame:
     """Scan report pages.

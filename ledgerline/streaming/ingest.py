@@ -11,6 +11,10 @@ so the same code runs as a scheduled batch job or continuously.  Each
 micro-batch is flattened and joined like a batch run and written as
 partition ``batch_id`` with dynamic overwrite: a micro-batch replayed after
 a failure replaces its own partition, which makes the sink idempotent.
+
+A fetch may repeat invoices of an earlier one.  A batch leaves out the rows whose
+(invoice_id, id) an earlier batch has stored: the first stored row stays.  Rows
+without one of the two ids can't be told apart and are all kept.
 """
 
 from __future__ import annotations
@@ -22,9 +26,11 @@ from ledgerline import schemas
 from ledgerline.functions.dates import DEFAULT_TZ
 from ledgerline.operators.flatten import explode_invoices
 from ledgerline.operators.join import id_profile, join_flat
+from ledgerline.session import path_exists
 from ledgerline.sinks.parquet import conform, read_run_partition, write_run_partition
 
 BATCH_COLUMN = "batch_id"
+ROW_KEY = ["invoice_id", "id"]
 
 
 def page_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -36,24 +42,22 @@ def page_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: i
 
 
 def ingest_available(spark: SparkSession, landing_glob: str, target_path: str, checkpoint_path: str,
-                     tz: str | None = DEFAULT_TZ, null_safe: bool = False,
-                     join_strategy: str = "auto", on_duplicate_ids: str = "fail",
-                     lake_path: str | None = None) -> int:
+                     lake_path: str, tz: str | None = DEFAULT_TZ, null_safe: bool = False,
+                     join_strategy: str = "auto", on_duplicate_ids: str = "fail") -> int:
     """Process every page landed so far; returns the number of micro-batches run.
 
     Each micro-batch follows the batch load: the pages are parsed once and
-    the flat set is written to the lake (partition ``batch_id``, default
-    ``<checkpoint>/lake``); the id profile and the join read that Parquet.
+    the flat set is written to the lake (partition ``batch_id``); the id
+    profile and the join read that Parquet.
     Unique ids take the join without a shuffle; a repeated id fails the
     batch unless ``on_duplicate_ids="join"`` (relational join, rows multiply).
     """
     batches: list[int] = []
-    lake = lake_path or f"{checkpoint_path.rstrip('/')}/lake"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         flat = explode_invoices(batch).select(*[f.name for f in schemas.FLAT.fields])
-        write_run_partition(flat, lake, batch_id)
-        flat = read_run_partition(spark, lake, schemas.FLAT, batch_id)
+        write_run_partition(flat, lake_path, batch_id)
+        flat = read_run_partition(spark, lake_path, schemas.FLAT, batch_id)
         n_rows, unique, _ = id_profile(flat)
         if n_rows == 0:
             return
@@ -61,8 +65,12 @@ def ingest_available(spark: SparkSession, landing_glob: str, target_path: str, c
             raise ValueError(f"micro-batch {batch_id}: invoice ids repeat across report records")
         strategy = join_strategy if join_strategy != "auto" else ("nested" if unique else "shuffle")
         joined = join_flat(flat, tz, null_safe, strategy)
-        out = conform(joined, schemas.INVOICE_DATA_DDL).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-        (out.write.mode("overwrite")
+        out = conform(joined, schemas.INVOICE_DATA_DDL)
+        if path_exists(spark, target_path):
+            # Only the two key columns of earlier batches are read.
+            earlier = read_ingested(spark, target_path).where(F.col(BATCH_COLUMN) < batch_id)
+            out = out.join(earlier.select(*ROW_KEY).distinct(), ROW_KEY, "left_anti").select(*out.columns)
+        (out.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH_COLUMN)
             .parquet(target_path))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SMOKE_DIR, invoice, item, page, write_pages
 from ledgerline import schemas
 from ledgerline.plans import control
-from ledgerline.plans.runs import LoadSettings, read_published, read_rejects, read_target, run_load
+from ledgerline.plans.runs import LoadSettings, read_published, read_rejects, read_target, read_violations, run_load
 from ledgerline.sources import land_driver_report
 
 
@@ -233,3 +233,41 @@ def test_a_failing_full_load_leaves_the_old_table_readable(spark, scratch, tmp_p
     assert [r.invoice_id for r in read_published(spark, s).collect()] == ["1"]
     run_load(spark, s2)
     assert sorted(r.invoice_id for r in read_published(spark, s).collect()) == ["8", "9"]
+
+
+def _fetch(tmp_path, name, invoices, finished=True):
+    path = write_pages(tmp_path / "fetches", [page(invoices)], name)
+    if finished:
+        open(f"{path}/_SUCCESS", "w").close()
+    return path
+
+
+def test_a_delta_reads_only_later_fetches(spark, scratch, tmp_path):
+    (tmp_path / "fetches").mkdir()
+    s = replace(_settings(scratch, str(tmp_path / "fetches")), by_fetch=True)
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    first = _fetch(tmp_path, "f1", [invoice("1"), invoice("2")])
+    assert run_load(spark, s, run_ts=0).status == "written"
+    assert run_load(spark, s, run_ts=0).status == "empty"          # no later fetch
+    with open(f"{first}/pages.json", "w") as fh:                   # a run that reads f1 again fails
+        fh.write("{ not json")
+    _fetch(tmp_path, "f2", [invoice("2"), invoice("3")])
+    _fetch(tmp_path, "f3", [invoice("4")], finished=False)
+    _fetch(tmp_path, "f4", [invoice("5")])                         # waits for f3
+    out = run_load(spark, s, run_ts=0)
+    assert (out.action, out.status, out.mark) == ("delta", "written", 3)
+    assert sorted(r.invoice_id for r in read_published(spark, s).collect()) == ["1", "2", "3"]
+    open(tmp_path / "fetches" / "f3" / "_SUCCESS", "w").close()
+    assert run_load(spark, s, run_ts=0).mark == 5
+    assert sorted(r.invoice_id for r in read_published(spark, s).collect()) == ["1", "2", "3", "4", "5"]
+    row = control.RunHistory(spark, s.control_path).active_run().first()
+    assert (row.filter_col2_name, row.filter_col2_value) == ("fetch", "f4")
+
+
+def test_rows_that_break_the_contract_go_to_violations(spark, scratch, tmp_path):
+    s = _settings(scratch, write_pages(tmp_path, [page([invoice("1"), invoice("2", due_date=None)])]))
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    out = run_load(spark, s, run_ts=0)
+    assert (out.status, out.violations) == ("written", 1)
+    assert [r.invoice_id for r in read_published(spark, s).collect()] == ["1"]
+    assert [r.invoice_id for r in read_violations(spark, s).collect()] == ["2"]

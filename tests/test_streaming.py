@@ -15,10 +15,13 @@ def test_each_landed_fetch_is_ingested_once(spark, scratch, tmp_path):
     base = scratch("stream")
     glob = str(tmp_path / "landing" / "*" / "*.json")
     _land(tmp_path, "fetch-1", [page([invoice("1"), invoice("2")])])
-    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c") == 1
-    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c") == 0     # nothing new
+    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c", f"{base}/lake") == 1
+    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c", f"{base}/lake") == 0     # nothing new
+    # A later fetch that repeats an invoice adds only what is new.
+    _land(tmp_path, "fetch-1b", [page([invoice("2"), invoice("3")])])
+    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c", f"{base}/lake") == 1
     # A later fetch with a lower (and a non-numeric) id is still picked up.
     _land(tmp_path, "fetch-2", [page([invoice("0", items=[item("0-1"), item("0-2")]), invoice("Z9")])])
-    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c") == 1
+    assert ingest_available(spark, glob, f"{base}/t", f"{base}/c", f"{base}/lake") == 1
     got = sorted((r.invoice_id, r.id) for r in read_ingested(spark, f"{base}/t").collect())
-    assert got == [("0", "0-1"), ("0", "0-2"), ("1", "1-1"), ("2", "2-1"), ("Z9", "Z9-1")]
+    assert got == [("0", "0-1"), ("0", "0-2"), ("1", "1-1"), ("2", "2-1"), ("3", "3-1"), ("Z9", "Z9-1")]
