@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm import langid, neardup, packing, toxicity
 from ledgerline.llm.common import ship_code, table, written
@@ -23,9 +24,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told (others have no letter at all)."""
+    """Documents with a letter.  The model knows no other language than those it
+    learned, so it tells one for each of them; no label at all drops none."""
     ship_code(spark)
     model = langid.train(docs)
+    if not model:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return langid.predict(docs, model).where("lang_pred <> 'und'").select(*docs.columns)
 
 

@@ -156,9 +156,10 @@ class WordMargins:
             chunk = new[at:at + 50_000]
             grams, owner = subwords(chunk, self.sizes, self.bits)
             count = np.maximum(np.bincount(owner, minlength=len(chunk)), 1)
-            parts.append(np.stack(
-                [np.bincount(owner, weights=self.weights[grams, k], minlength=len(chunk)) / count
-                 for k in range(self.weights.shape[1])], axis=1).astype(np.float32))
+            rows = np.zeros((len(chunk), self.weights.shape[1]), np.float32)
+            for k in range(rows.shape[1]):
+                rows[:, k] = np.bincount(owner, weights=self.weights[grams, k], minlength=len(chunk)) / count
+            parts.append(rows)
         if new:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.rows = np.concatenate(parts)

@@ -15,7 +15,8 @@ Labels are read only where crc32(doc_id) mod 5 is not 0, from at most
 
 Defined cases: null text, an empty one, or one without a letter is ``und``
 with score 0; a null or empty lang teaches nothing; without any labels every
-text is ``und``; a null doc_id is held out; repeated rows are predicted one by
+text is ``und``; with one learned language every text with a letter is of it
+(score 1); a null doc_id is held out; repeated rows are predicted one by
 one; further columns are ignored.
 """
 
@@ -196,9 +197,9 @@ def predict(docs: DataFrame, model: bytes) -> DataFrame:
                     sizes = np.diff(first)
                     doc = np.repeat(np.arange(len(texts)), sizes)
                     by_word = of.of(words)
-                    margins = np.stack([
-                        np.bincount(doc, weights=by_word[codes, k], minlength=len(texts))
-                        for k in range(by_word.shape[1])], 1) if by_word.shape[1] else np.zeros((len(texts), 0))
+                    margins = np.zeros((len(texts), by_word.shape[1]))      # one language has no machine
+                    for k in range(by_word.shape[1]):
+                        margins[:, k] = np.bincount(doc, weights=by_word[codes, k], minlength=len(texts))
                     margins = margins / np.maximum(sizes, 1)[:, None] + biases
                     found, sure = decide(margins, names, machines)
                     langs = [x if ok else "und" for x, ok in zip(found, letters)]

@@ -326,6 +326,21 @@ def test_language_by_family_then_pairs(documents):
     assert langid.train(empty) == b"" and langid.predict(docs, b"").where("lang_pred = 'und'").count() == len(rows) + 4
 
 
+@pytest.mark.parametrize("lang, told", [("en", "en"), (None, "und")])
+def test_language_of_one_language_or_of_none(spark, documents, scratch, lang, told):
+    import corpus_pipeline
+    from ledgerline.llm.queries import op9_language
+    sf = scratch("one-language")
+    rows = [(i, f"the river runs {i}", lang) for i in range(40)]
+    documents(rows + [(900, None, lang), (901, "12 !", lang), (902, "", lang)]).write.parquet(f"{sf}/documents.parquet")
+    got = {r["doc_id"]: r for r in op9_language(spark, sf).collect()}
+    assert len(got) == 43 and {got[i]["lang_pred"] for i, _, _ in rows} == {told}
+    assert [got[i]["lang_pred"] for i in (900, 901, 902)] == ["und"] * 3
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = corpus_pipeline.drop_unknown_language(spark, docs, sf)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+
+
 # 10 ------------------------------------------------------------------------------------------------
 def brute_base(text):
     w = regex.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", regex.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
