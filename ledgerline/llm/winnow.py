@@ -1,16 +1,18 @@
 """Document fingerprints by winnowing, in DataFrame functions only (operator 2).
 
-A text is read as pieces of up to ``PIECE`` characters between white space.
-Every run of ``K`` pieces has a hash, built by doubling from the hashes of its
-halves; of every ``WINDOW`` neighbouring hashes the smallest is selected, the
-rightmost of equal ones.  A hash (32 bits) and its position share one long, so
-that the minimum of longs is the winnowing rule and positions are kept.  Two
-texts that share K + WINDOW - 1 pieces in a row share a selected hash; runs
-of fewer than K pieces never match.
-
-Defined cases: null text counts as empty; a text without pieces selects
-nothing, and two such texts are alike (1.0); fewer than K pieces make one hash
-of them all, fewer than WINDOW hashes one window; repeated rows are neighbours
+The white space of a text is left out.  Every run of ``CHARS`` characters (code
+points) has a hash, built by doubling from the hashes of its halves, so a
+passage has the same hashes at whatever offset it stands; of every
+``CHAR_WINDOW`` neighbouring hashes the smallest is selected, the rightmost of
+equal ones.  A hash (32 bits) and its position share one long, so that the
+minimum of longs is the winnowing rule and positions are kept.  Two texts that
+share CHARS + CHAR_WINDOW - 1 characters in a row share a selected hash; runs
+of fewer than CHARS characters never match.
+
+Defined cases: null text counts as empty; a text of white space
+selects nothing, and two such texts are alike (1.0); fewer than CHARS
+characters make one hash of them all, fewer than CHAR_WINDOW hashes one window;
+repeated rows are neighbours
 of each other (ordered by a hash of the text); a null doc_id comes last; a
 single document is its own successor; an empty table gives an empty result;
 further columns are ignored.
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import order_buckets, written
 
-PIECE, K, WINDOW = 4, 4, 4
+PIECE, K, WINDOW = 4, 4, 4            # of with_selection by itself
+CHARS, CHAR_WINDOW = PIECE * K, PIECE * WINDOW   # the same spans, counted in characters
 _LAST = (1 << 31) - 1
 
 
@@ -33,29 +36,32 @@ def _join_halves(values: Column, step: int, join) -> Column:
     return F.zip_with(F.slice(values, 1, n), F.slice(values, step + 1, n), join)
 
 
-def with_selection(df: DataFrame, text: str, out: str) -> DataFrame:
+def with_selection(df: DataFrame, text: str, out: str, piece: int = PIECE, k: int = K,
+                   window: int = WINDOW) -> DataFrame:
     """``df`` with ``out``: the selected (hash, position) entries as longs, in
-    order.  Every step is a projection of its own, so that no array is built
-    twice."""
+    order.  Runs of ``k`` pieces of up to ``piece`` characters between white space
+    are hashed (``k`` and ``window``: powers of two).  Only pieces of one character
+    find a passage at every offset.  Every step is a projection of its own, so that
+    no array is built twice."""
     tmp = f"__{out}"
-    df = df.withColumn(tmp, F.transform(F.regexp_extract_all(F.col(text), F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0)),
+    df = df.withColumn(tmp, F.transform(F.regexp_extract_all(F.col(text), F.lit(rf"\S{{1,{piece}}}"), F.lit(0)),
                                         lambda p: F.xxhash64(p)))
     df = df.withColumn(f"{tmp}_whole", F.xxhash64(tmp))
     pieces, step = F.size(tmp), 1
     df = df.withColumn(f"{tmp}_n", pieces)
-    while step < K:
+    while step < k:
         df = df.withColumn(tmp, _join_halves(F.col(tmp), step, lambda x, y: F.xxhash64(x, y)))
         step *= 2
-    df = df.withColumn(tmp, F.when((F.col(f"{tmp}_n") > 0) & (F.col(f"{tmp}_n") < K), F.array(f"{tmp}_whole"))
+    df = df.withColumn(tmp, F.when((F.col(f"{tmp}_n") > 0) & (F.col(f"{tmp}_n") < k), F.array(f"{tmp}_whole"))
                        .otherwise(F.col(tmp)))
     df = df.withColumn(tmp, F.transform(
         tmp, lambda h, i: F.shiftleft(F.shiftright(h, 32), 31) + (F.lit(_LAST).cast("long") - i)))
     df = df.withColumn(f"{tmp}_least", F.array_min(tmp)).withColumn(f"{tmp}_n", F.size(tmp))
     step = 1
-    while step < WINDOW:
+    while step < window:
         df = df.withColumn(tmp, _join_halves(F.col(tmp), step, lambda x, y: F.least(x, y)))
         step *= 2
-    df = df.withColumn(out, F.when((F.col(f"{tmp}_n") > 0) & (F.col(f"{tmp}_n") < WINDOW), F.array(f"{tmp}_least"))
+    df = df.withColumn(out, F.when((F.col(f"{tmp}_n") > 0) & (F.col(f"{tmp}_n") < window), F.array(f"{tmp}_least"))
                        .otherwise(F.array_distinct(tmp)))
     return df.drop(tmp, f"{tmp}_whole", f"{tmp}_n", f"{tmp}_least")
 
@@ -120,7 +126,8 @@ def fingerprints(docs: DataFrame, docs_per_bucket: int = 1024) -> DataFrame:
         F.col("text").substr(F.lit(1), (F.col("n_chars") - half).cast("int")),
         F.coalesce("next", F.lit("")).substr(F.lit(1), half)))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = with_selection(with_selection(rows, "text", "own"), "edited", "new")
+    for text, out in (("text", "own"), ("edited", "new")):
+        rows = with_selection(rows, text, out, 1, CHARS, CHAR_WINDOW)
     rows = rows.select("bucket", "ghost", "doc_id", "tie", "n_chars", "edited_sha256",
                        digest("own").alias("fingerprint"), digest("new").alias("edited_fingerprint"),
                        hashes("own").alias("own"), hashes("new").alias("new"))

@@ -127,6 +127,15 @@ def test_winnowing_keeps_repeated_and_null_ids(documents):
     assert winnow.fingerprints(documents([])).count() == 0
 
 
+def test_winnowing_finds_a_passage_of_unspaced_text_at_any_offset(documents):
+    random.seed(11)
+    run = "".join(random.choice("日本語テスト東京都😀") for _ in range(600))
+    rows = [(10, "x" + run, "ja"), (9, run, "ja"), (8, "yz" + run[100:500] + "w" * 3, "ja"), (7, "\n" + run[:300] + " \t" + run[300:], "ja")]
+    got = {r["doc_id"]: r for r in winnow.fingerprints(documents(rows)).collect()}
+    assert got[10]["near_next"] > 0.9 and got[9]["near_next"] > 0.5 and got[8]["near_next"] > 0.5
+    assert got[7]["fingerprint"] == got[9]["fingerprint"]        # white space is left out
+
+
 # 3 -------------------------------------------------------------------------------------------------
 def test_cuts_are_optimal():
     rng = random.Random(2)
