@@ -11,12 +11,12 @@ headers, footers, asides, forms, adverts, notices or comments is furniture
 whether shared or not, and what lies in ``article`` or ``main`` is text even
 where a neighbour repeats it (reprints and copies share whole articles, so
 differencing alone would delete them).  The alignment decides every other line,
-that is, pages or parts of pages without such marks; beside an article they
-are left out.
+that is, pages or parts of pages without such marks, beside an article too.
 
 Pages are dealt by ranges of (host, path, page_id) and streamed in order, one
 page and its neighbour's line hashes at a time.  A page's neighbour is the page
-before it, for the first page of a host or of a range the one after it.
+before it, for the first page of a host the one after it.  Every range also
+reads the pages next to its two edges, so where it begins changes nothing.
 
 Defined cases: null html counts as empty and gives empty text; a null or odd
 URL counts as an empty host and path; the only page of a host is aligned with
@@ -33,10 +33,10 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_slices
+from ledgerline.llm.common import text_slices, written
 
 FURNITURE, OTHER, ARTICLE = 0, 1, 2
 _BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -158,12 +158,39 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
 def main_text(lines: list[tuple[str, int]], neighbour: list[int]) -> tuple[str, int]:
     """The text of a page and the number of lines that its neighbour shares."""
     shared = shared_lines([hash(x) for x, _ in lines], neighbour)
-    article = any(zone == ARTICLE for _, zone in lines)
-    kept = [x for i, (x, zone) in enumerate(lines)
-            if zone == ARTICLE or zone == OTHER and not article and i not in shared]
+    kept = [x for i, (x, zone) in enumerate(lines) if zone == ARTICLE or zone == OTHER and i not in shared]
     return "\n\n".join(kept), len(shared)
 
 
+def with_edges(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
+    """``rows`` with ``place``, the number (from 0) of one of ``n`` ranges of
+    ``keys``, and again as ``ghost`` in a range whose edge they are next to, if
+    its edge has the same host.
+
+    Only the keys are read to cut the ranges, and one row per range is ordered.
+    """
+    rows = rows.withColumn("key", F.struct(*keys))
+    firsts = (rows.select("key", *keys).repartitionByRange(n, *keys).select(F.spark_partition_id().alias("part"), "key")
+              .groupBy("part").agg(F.min("key").alias("first")))
+    # Written: ranges are cut by a sample, which another run would draw anew.
+    bounds = written(firsts, "ranges").agg(F.collect_list("first").alias("bounds"))
+    rows = (rows.crossJoin(F.broadcast(bounds))
+            .withColumn("range", F.size(F.filter("bounds", lambda b: b <= F.col("key"))) - 1).drop("bounds"))
+    edges = rows.groupBy("range").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    over = Window.orderBy("range")
+    edges = edges.select("range", "first", "last", F.lag("range").over(over).alias("below"),
+                         F.lag("last").over(over).alias("before"), F.lead("range").over(over).alias("above"),
+                         F.lead("first").over(over).alias("after"))
+    ghosts = (edges.where("last.host = after.host").select(F.col("last").alias("edge"), F.col("above").alias("to"))
+              .unionByName(edges.where("first.host = before.host").select(F.col("first").alias("edge"),
+                                                                         F.col("below").alias("to")))
+              .groupBy("edge").agg(F.collect_list("to").alias("to")))
+    places = F.concat(F.array("range"), F.coalesce("to", F.array().cast("array<int>")))
+    return (rows.join(F.broadcast(ghosts), F.col("key") == F.col("edge"), "left")
+            .withColumn("place", F.explode(places)).withColumn("ghost", F.col("place") != F.col("range"))
+            .drop("key", "edge", "to", "range"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and shared_lines of every page."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
@@ -173,11 +200,13 @@ def extract(pages: DataFrame) -> DataFrame:
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None                                  # (host, line hashes) of the page before
+        before = None                                  # (place and host, line hashes) of the page before
         waiting = None                                 # the first page of a host, until its successor is known
         for part in text_slices(batches, "html"):
             out = []
-            ids, urls, hosts = part.column(0), part.column(1), part.column(3).to_pylist()
+            ids, urls = part.column(0), part.column(1)
+            hosts = list(zip(part.column(5).to_pylist(), part.column(3).to_pylist()))
+            ghosts = part.column(6).to_pylist()
             for i, html in enumerate(part.column(2).to_pylist()):
                 lines = page_lines(html)
                 hashes = [hash(x) for x, _ in lines]
@@ -186,7 +215,9 @@ def extract(pages: DataFrame) -> DataFrame:
                 if waiting:
                     out.append((*waiting[:2], *main_text(waiting[2], hashes if near else [])))
                     waiting = None
-                if near:
+                if ghosts[i]:
+                    pass                               # its own range returns it
+                elif near:
                     out.append((*page[:2], *main_text(lines, before[1])))
                 else:
                     waiting = page
@@ -204,5 +235,7 @@ def extract(pages: DataFrame) -> DataFrame:
             ["page_id", "url", "text", "n_chars", "shared_lines"])
 
     keys = ("host", "path", "page_id", "url")
-    return (rows.repartitionByRange(*keys).sortWithinPartitions(*keys, F.xxhash64("html"))
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (with_edges(rows, keys, n).repartitionById(n, F.col("place"))
+            .sortWithinPartitions("place", *keys, F.xxhash64("html"))
             .mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long, shared_lines long"))

@@ -287,6 +287,26 @@ def test_pages_keep_the_article_and_delete_shared_lines(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_pages_keep_unshared_text_beside_an_article(spark):
+    body = "<body><p>Site name</p><article>Teaser {0}</article><div>Body {0}</div><div>All about us</div>"
+    df = spark.createDataFrame([(i, f"http://a.org/{i}", body.format(i)) for i in range(3)],
+                               "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
+    assert got == {i: f"Teaser {i}\n\nBody {i}" for i in range(3)}
+
+
+def test_pages_find_their_neighbour_across_ranges(spark):
+    plain = "<body><p>Site name</p><p>own {}</p><p>All about us</p>"
+    df = spark.createDataFrame([(i, f"http://{'ab'[i // 6]}.org/{i:02}", plain.format(i)) for i in range(12)],
+                               "page_id long, url string, html string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((r["page_id"], r["text"], r["shared_lines"]) for r in pages.extract(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == [(i, f"own {i}", 2) for i in range(12)]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(6)
     for _ in range(200):
