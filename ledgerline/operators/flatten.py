@@ -59,8 +59,8 @@ def explode_invoices_since(pages: DataFrame, mark, outer: bool = False, field: s
 
 
 def reject_non_numeric(flat: DataFrame) -> DataFrame:
-    """Invoices whose id is not an integer: they are left out of every delta."""
-    return flat.where(F.col(f"{INV}.id").isNotNull() & numeric_id(F.col(f"{INV}.id")).isNull())
+    """Invoices whose id is no integer, or NULL: they are left out of every delta."""
+    return flat.where(numeric_id(F.col(f"{INV}.id")).isNull())
 
 
 def invoice_fields(inv: Column, tz: str | None = DEFAULT_TZ) -> dict[str, Column]:

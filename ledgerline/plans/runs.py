@@ -17,7 +17,7 @@ One call of ``run_load`` is one run of the job:
    Only now readers see the run (``read_published``): a full load takes the
    place of all earlier runs at this moment, a failed one changes nothing.
 
-Invoices whose id is no integer can't be compared with a mark; a delta writes
+Invoices whose id is no integer, or NULL, can't be compared with a mark; a delta writes
 them to the rejects folder of the lake, so target, rejects and violations together
 hold everything the run selected.
 
@@ -93,7 +93,7 @@ class RunOutcome:
     run_id: int | None
     status: str            # skipped | noop | empty | written
     mark: int | None = None
-    # Invoices whose id is not an integer: a delta leaves them out, a full
+    # Invoices whose id is no integer, or NULL: a delta leaves them out, a full
     # load writes them, and they never count in the mark.  NULL when the run
     # did not read the report.
     non_numeric_ids: int | None = None
@@ -102,9 +102,8 @@ class RunOutcome:
 
 
 def _non_numeric_count(pages: DataFrame):
-    """Invoices across all pages whose id is present but not an integer."""
-    bad = F.filter(F.col("list"), lambda x: x["invoice"]["id"].isNotNull()
-                   & numeric_id(x["invoice"]["id"]).isNull())
+    """Invoices across all pages whose id is no integer, or NULL."""
+    bad = F.filter(F.col("list"), lambda x: numeric_id(x["invoice"]["id"]).isNull())
     return F.coalesce(F.sum(F.size(bad)), F.lit(0))
 
 

@@ -198,6 +198,18 @@ def test_non_numeric_ids_of_a_delta_are_rejected_not_lost(spark, scratch, tmp_pa
     assert rejected == ["X1", "Y2"]                     # with the target: all that the run selected
 
 
+def test_null_ids_of_a_delta_are_rejected_not_lost(spark, scratch, tmp_path):
+    first = write_pages(tmp_path, [page([invoice("1")])], name="first")
+    second = write_pages(tmp_path, [page([invoice("1"), invoice("2"), invoice(None), invoice("X1")])], name="second")
+    s = _settings(scratch, first)
+    control.RunHistory(spark, s.control_path).seed(run_ts=0)
+    run_load(spark, s)
+    delta = run_load(spark, replace(s, report_path=second))
+    assert (delta.status, delta.mark, delta.non_numeric_ids) == ("written", 2, 2)
+    rejected = [r[0] for r in read_rejects(spark, s).select("flat_invoice.invoice.id").collect()]
+    assert len(rejected) == 2 and set(rejected) == {None, "X1"}
+
+
 def test_a_retry_that_selects_nothing_keeps_no_stale_rows(spark, scratch, tmp_path):
     pages = lambda name, *ids: write_pages(tmp_path, [page([invoice(i) for i in ids])], name=name)
     s = _settings(scratch, pages("a", "1", "2"))
