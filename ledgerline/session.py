@@ -10,6 +10,7 @@ absent (plain local sessions, tests) does this module make its own folder.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -146,6 +147,18 @@ def create_exclusive(spark: SparkSession, path: str, content: str) -> None:
     stream.close()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ours that nothing reads any more (a missing one is no error)."""
+    if "/ledgerline/" not in path:
+        raise ValueError(f"not a scratch folder of this library: {path}")
+    h = _hadoop_path(spark, path)
+    if h is None:
+        shutil.rmtree(_local(path), ignore_errors=True)
+        return
+    fs, hpath = h
+    fs.delete(hpath, True)
+
+
 def file_fingerprint(spark: SparkSession, path: str) -> str:
     """Length and modification time of a file or folder, for cache keys."""
     h = _hadoop_path(spark, path)
