@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import fresh_dir
+from ledgerline.session import delete_folder, fresh_dir
 
 SLICE_BYTES = 4 << 20
 
@@ -54,6 +54,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Removes the folder of a table that ``written`` made and nothing reads any more."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        delete_folder(df.sparkSession, folder)
+
+
 def text_slices(batches, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that ``column`` holds at most ``max_bytes`` per
     slice (one longer text makes a slice of its own); nulls become empty."""
@@ -80,6 +86,11 @@ def ascii_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return codes, first, words.cast(pa.binary()).to_pylist()
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """As ``ascii_words`` for texts that are lower-cased already; the words as an Arrow array."""
+    return _coded(pc.ascii_split_whitespace(texts))
+
+
 def unicode_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """As ``ascii_words``, lower-cased and cut by the rules of Unicode."""
     codes, first, words = _coded(pc.utf8_split_whitespace(pc.utf8_lower(texts)))

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chat, langid, licenses, neardup, packing, pages, topk, toxicity, winnow
+from ledgerline.llm import (
+    bpe, chat, contamination, infill, langid, licenses, neardup, packing, pages, topk, toxicity, vector_codes, winnow,
+)
 from ledgerline.llm.common import fold, table
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -79,6 +81,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut at two characters and put in another order; digests of it and of the text rebuilt."""
+    done = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(infill.restored(), 256).alias("restored_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all usable vectors, with their errors and a digest of the codebooks."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.label_errors(coded).select(
+        F.col("id").alias("vec_id"), F.regexp_replace(F.lower(F.hex("code")), "..(..)", "$1").alias("code"), "error",
+        "label_error", F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document within windows of benchmark items, and whose windows they are."""
+    found = contamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
     import corpus_pipeline          # it imports this module's operators in turn
@@ -97,9 +122,45 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_decontamination": op13_decontamination,
     "pipeline": pipeline,
 }
 
+
+def _codes_sql(rounds: int = 6) -> str:
+    """SQL of operator 12: a CTE for each assignment and each codebook (sums stay exact in doubles)."""
+    assign = """a{r} AS MATERIALIZED (
+  SELECT rid, p, min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT * 16 + k) AS m
+  FROM pts JOIN c{r} USING (p) GROUP BY rid, p)"""
+    mean = """c{n} AS MATERIALIZED (
+  SELECT p, k, coalesce(f.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT p, k, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY pos) AS c FROM (
+      SELECT p, m % 16 AS k, pos, sum(y)::BIGINT AS s, count(*) AS n FROM (
+        SELECT p, m, unnest(x)::BIGINT AS y, generate_subscripts(x, 1) AS pos FROM a{r} JOIN pts USING (rid, p)) GROUP BY ALL)
+    GROUP BY p, k) f USING (p, k))"""
+    steps = ",\n".join(f"{assign.format(r=r)},\n{mean.format(r=r, n=r + 1)}" for r in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pts AS MATERIALIZED (
+  SELECT rid, p, e[p * len(e) // 8 + 1:(p + 1) * len(e) // 8] AS x FROM v, (SELECT unnest(range(8)) AS p)),
+c0 AS MATERIALIZED (SELECT p, (rid - 1)::BIGINT AS k, x AS c FROM pts WHERE rid <= 16),
+{steps},
+{assign.format(r=rounds)},
+done AS (
+  SELECT rid, string_agg(printf('%02x', m % 16), '' ORDER BY p) AS code, sum(m // 16)::BIGINT AS error
+  FROM a{rounds} GROUP BY rid),
+books AS (
+  SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY p, k, pos)) AS codebooks_sha256
+  FROM (SELECT p, k, unnest(c) AS y, generate_subscripts(c, 1) AS pos FROM c{rounds}))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM done JOIN v USING (rid), books"""
+
+
 ORACLES: dict[str, str] = {
     "op1_topk": """
 WITH v AS (
@@ -125,4 +186,43 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
       + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id""",
+    "op11_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+x AS (SELECT *, left(t, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM x""",
+    "op12_vector_codes": _codes_sql(),
+    "op13_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT rid, l, k, array_to_string(w[k:k + l - 1], ' ') AS phrase
+  FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS k FROM d, (SELECT DISTINCT l FROM iw) WHERE len(w) >= l)),
+h AS (SELECT DISTINCT rid, l, k, item_id FROM dw JOIN iw USING (l, phrase)),
+c AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + l)) AS p FROM h) GROUP BY rid),
+n AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT rid, item_id FROM h) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN n USING (rid)""",
 }
