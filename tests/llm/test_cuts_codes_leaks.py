@@ -1,0 +1,292 @@
+"""Fill-in-the-middle, vector codes and decontamination against brute force and odd inputs."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import contamination, infill, queries, vector_codes
+from ledgerline.llm.common import ship_code
+
+
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    ship_code(spark)
+
+
+ODD = [(1, None), (2, ""), (3, " \n "), (None, "a null id"), (4, "x" * 30_000), (5, "one two"), (5, "one two"),
+       (6, "日本語 テスト 😀 1½\r\n\n  second line\n"), (7, "holds <S> itself"), (8, "tail <"), (9, "> <P <M"), (10, "é" * 9),
+       (11, "\n".join(f"line {i}" for i in range(50)))] + [(100 + i, "word " * i + "😀ß\n" * (i % 4)) for i in range(120)]
+
+
+# 11 ------------------------------------------------------------------------------------------------
+def unit_starts(text, unit):
+    space = " \t\n\v\f\r"
+    if unit == "char":
+        return list(range(len(text)))
+    if unit == "word":
+        return [i for i, c in enumerate(text) if c not in space and (i == 0 or text[i - 1] in space)]
+    return [i for i in range(len(text)) if i == 0 or text[i - 1] == "\n"]
+
+
+def brute_infill(key, text, unit="char"):
+    text = text or ""
+    h = hashlib.sha256(f"1:{'' if key is None else key}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    starts = unit_starts(text, unit)
+    n = len(starts)
+    cut = lambda k: 0 if k == 0 else len(text) if k == n else starts[k]
+    a, b = (cut(k) for k in sorted((h1 % (n + 1), h2 % (n + 1))))
+    if not text or any(m in text for m in infill.MARKS) or h3 % 100 >= 90:
+        return key, n, "plain", None, None, text
+    p, m, s = text[:a], text[a:b], text[b:]
+    if h4 % 100 < 20:
+        return key, n, "spm", a, b - a, f"<S>{s}<P>{p}<M>{m}"
+    return key, n, "psm", a, b - a, f"<P>{p}<S>{s}<M>{m}"
+
+
+@pytest.mark.parametrize("unit", ["char", "word", "line"])
+def test_infill_matches_brute_force_and_round_trips(spark, unit):
+    df = spark.createDataFrame([(i, t, "clash", 7) for i, t in ODD], "doc_id long, text string, form string, n int")
+    done = infill.fill_in_middle(df, unit=unit)
+    got = [tuple(r) for r in done.collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[-1])
+    assert sorted(got, key=key) == sorted((brute_infill(i, t, unit) for i, t in ODD), key=key)
+    back = done.select("doc_id", infill.restored().alias("t")).collect()
+    assert sorted((r["t"] for r in back)) == sorted(t or "" for _, t in ODD)
+    assert {"plain", "psm", "spm"} == {r[2] for r in got}
+
+
+def test_infill_of_an_empty_table(spark):
+    assert infill.fill_in_middle(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_wavelet_matrix_ranks_and_selects():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 63, 64, 65, 1000):
+        x = rng.integers(0, 6, n).astype(np.uint8)
+        w, at = infill.WaveletMatrix(x), np.arange(n + 1)
+        for s in range(6):
+            assert w.rank(s, at).tolist() == [int((x[:i] == s).sum()) for i in at]
+        for unit in infill.UNITS.values():
+            where = np.flatnonzero(np.isin(x, unit))
+            k = np.arange(len(where) + 1)
+            got = w.select(unit, k, np.zeros(len(k), np.int64), np.full(len(k), n))
+            assert got.tolist() == [*where.tolist(), n]
+
+
+# 12 ------------------------------------------------------------------------------------------------
+def brute_codes(rows, parts=8, entries=16, rounds=6, scale=4096):
+    import math
+    kept = [(i, lab, [math.floor(scale * float(np.float32(x))) for x in v]) for i, v, lab in rows
+            if v and all(x is not None and np.isfinite(np.float32(x)) for x in v)]
+    if not kept:
+        return [], []
+    dim = len(kept[0][2])
+    edges = [i * dim // parts for i in range(parts + 1)]
+    cut = lambda v: [v[a:b] for a, b in zip(edges, edges[1:])]
+    order = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    books = [[cut(r[2])[p] for r in order[:entries]] for p in range(parts)]
+    far = lambda x, c: sum((a - b) ** 2 for a, b in zip(x, c))
+    near = lambda x, book: min(range(len(book)), key=lambda k: (far(x, book[k]), k))
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = {}
+            for r in kept:
+                x = cut(r[2])[p]
+                groups.setdefault(near(x, books[p]), []).append(x)
+            for k, xs in groups.items():
+                books[p][k] = [sum(c) // len(xs) for c in zip(*xs)]
+    out = []
+    for i, lab, v in kept:
+        code = [near(x, books[p]) for p, x in enumerate(cut(v))]
+        out.append((i, lab, code, sum(far(x, books[p][k]) for p, (x, k) in enumerate(zip(cut(v), code)))))
+    return out, books
+
+
+def coded_rows(df, **options):
+    coded, books = vector_codes.compress(df, **options)
+    return sorted(((r["id"], r["label"], [int(c) for c in np.frombuffer(r["code"], ">u2")], r["error"])
+                   for r in coded.collect()), key=str), books
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, lab, "c") for i, v, lab in rows], "vec_id long, embedding array<float>, label int, code string")
+
+
+def test_codes_match_brute_force_with_ties_nulls_and_repeats(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in np.round(rng.normal(size=16), 1)], int(i % 3) if i % 5 else None) for i in range(250)]
+    rows += [(300 + i, [0.25] * 16, 9) for i in range(40)] + [(7, rows[7][1], 1), (None, [1.0] * 16, 1)]
+    rows += [(400, None, 1), (401, [None] * 16, 1), (402, [float("nan")] * 16, 1), (403, [float("inf")] + [0.0] * 15, 1), (404, [], 1)]
+    want, books = brute_codes(rows)
+    got, own = coded_rows(vectors(spark, rows))
+    assert got == sorted(want, key=str) and own == books
+
+
+def test_codes_of_few_odd_and_no_vectors(spark):
+    few = [(i, [float(i), 2.0, -3.5, 0.1 * i, 5.0, 1.0, 0.0, 9.0, 1.0, 1.5], 0) for i in range(5)]       # 10 components, 8 parts
+    want, books = brute_codes(few)
+    got, own = coded_rows(vectors(spark, few))
+    assert got == sorted(want, key=str) and own == books
+    assert coded_rows(vectors(spark, few[:1]))[0] == sorted(brute_codes(few[:1])[0], key=str)
+    assert coded_rows(vectors(spark, [(1, None, 1)])) == ([], [[]] * 8)
+    other = few + [(50, [1.0, 2.0], 0)]                                     # another length takes no part
+    assert coded_rows(vectors(spark, other))[0] == sorted(want, key=str)
+
+
+def test_codes_of_huge_components_stay_exact(spark):
+    rng = np.random.default_rng(5)
+    for size in (1e5, 1e12, 3e38):
+        rows = [(i, [float(np.float32(x)) for x in rng.uniform(-1, 1, 8) * size], 0) for i in range(40)]
+        want, books = brute_codes(rows)
+        got, own = coded_rows(vectors(spark, rows))
+        assert own == books
+        assert got == sorted(((i, lab, c, e if e < 2 ** 63 else None) for i, lab, c, e in want), key=str)
+
+
+def test_bounds_never_change_an_assignment():
+    rng = np.random.default_rng(6)
+    for kept in (1, 2, 4, 6):
+        x = rng.integers(-6, 7, (3000, 3))                                    # small numbers: many ties
+        book = x[:16].copy()
+        state = vector_codes.Part(book, np.zeros(16), 6).first(x, kept)
+        for step in range(8):
+            new = book + rng.integers(-1, 2, book.shape) * (rng.random((16, 1)) < 0.5)
+            part = vector_codes.Part(new, np.sqrt(((new - book) ** 2).sum(axis=1)) * (1 + 1e-12), 20)
+            state, need = part.next(x, state, kept)
+            d = part.all_distances(x)
+            assert (state["entry"] == d.argmin(axis=1)).all()
+            root = np.sqrt(d)
+            assert (state["up"] >= root[np.arange(len(x)), state["entry"]] - 1e-5).all()
+            for k in range(kept):
+                assert (state["low"][:, k] <= np.take_along_axis(root, state["near"][:, k:].astype(int), 1).min(axis=1) + 1e-5).all()
+            book = new
+        if kept > 2:
+            assert (need <= kept).any()
+            state = vector_codes.narrowed(state, 2)
+            state, _ = vector_codes.Part(book, np.zeros(16), 20).next(x, state, 2)
+            assert (state["entry"] == part.all_distances(x).argmin(axis=1)).all()
+
+
+def test_label_errors_group_nulls(spark):
+    df = spark.createDataFrame([(1, 5), (1, 6), (None, 7), (None, 8), (2, None), (3, 2 ** 62), (3, 2 ** 62)], "label int, error long")
+    got = {(r["label"], r["error"], r["label_error"]) for r in vector_codes.label_errors(df).collect()}
+    assert got == {(1, 5, 11), (1, 6, 11), (None, 7, 15), (None, 8, 15), (2, None, None), (3, 2 ** 62, None)}
+
+
+# 13 ------------------------------------------------------------------------------------------------
+def words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def brute_scan(docs, items, window):
+    out = []
+    for i, t in docs:
+        w = words(t)
+        hit, names = set(), set()
+        for name, text in items:
+            v = words(text)
+            size = min(window, len(v))
+            for k in range(len(v) - size + 1 if v else 0):
+                for p in range(len(w) - size + 1):
+                    if w[p:p + size] == v[k:k + size]:
+                        hit |= set(range(p, p + size))
+                        names.add("" if name is None else str(name))
+        out.append((i, len(w), len(hit), sorted(names)))
+    return sorted(out, key=str)
+
+
+def leak_data(seed):
+    rnd = random.Random(seed)
+    say = lambda n, k=6: " ".join(rnd.choice(["red", "Green", "blue", "ÉTÉ", "x1", "日本", "zq", "w"][:k]) for _ in range(n))
+    items = [(i, say(rnd.randrange(4, 30))) for i in range(12)] + [(20, "Lone"), (21, "two words"), (22, None), (23, " .,! "), (24, ""),
+                                                                 (None, "no id here at all"), (20, say(25)), (30, items_long := say(120, 8))]
+    docs = [(i, say(rnd.randrange(0, 60))) for i in range(60)]
+    docs += [(100, None), (101, ""), (102, "lone"), (103, "one lone wolf, TWO--words."), (104, "no id\nhere at all"), (105, items_long),
+             (106, "start " + items_long + " end"), (None, "a lone null"), (107, "plain prose of nothing"), (107, "lone"), (108, "x1 " * 400)]
+    docs += [(200 + i, "copied " + items_long[:300]) for i in range(20)]
+    return docs, items
+
+
+@pytest.mark.parametrize("window", [2, 3, 5, 10])
+def test_scan_matches_brute_force(spark, window):
+    docs, items = leak_data(window)
+    d = spark.createDataFrame([(i, t, 1, "c") for i, t in docs], "doc_id long, text string, n_hit int, items string")
+    b = spark.createDataFrame([(i, t, 5) for i, t in items], "item_id long, text string, doc_id int")
+    want = brute_scan(docs, items, window)
+    for block_bytes in (1 << 20, 200):                                      # one block, then many
+        got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"]))
+                      for r in contamination.scan(d, b, window, block_bytes).collect()), key=str)
+        assert got == want
+
+
+def test_scan_of_empty_tables(spark):
+    d = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [tuple(r) for r in contamination.scan(d, none).collect()] == [(1, 2, 0, [])]
+    assert contamination.scan(d.limit(0), d.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
+def test_longest_matches_match_brute_force(spark, block_bytes):
+    docs, items = leak_data(11)
+    items = [(i, t) for i, t in items if i not in (20, None)]
+    docs = [(i, t) for i, t in docs if i is not None and i != 107]
+    want = {}
+    texts = [(i, words(t)) for i, t in docs]
+    for name, text in items:
+        v = words(text)
+        for k in range(len(v)):
+            best = None
+            for i, w in texts:
+                for p in range(len(w)):
+                    n = 0
+                    while k + n < len(v) and p + n < len(w) and v[k + n] == w[p + n]:
+                        n += 1
+                    best = max(best or (0, 0, 0), (n, -i, -p))
+            if best and best[0] >= 4:
+                want[str(name), k] = best[0]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination.longest_matches(d, b, at_least=4, block_bytes=block_bytes).collect()
+    assert {(r["item_id"], r["start"]): r["length"] for r in found} == want
+    by_id, by_item = dict(texts), {str(i): words(t) for i, t in items}
+    for r in found:
+        at, n = r["place"], r["length"]
+        assert by_id[r["doc_id"]][at:at + n] == by_item[r["item_id"]][r["start"]:r["start"] + n]
+
+
+def test_decontaminate_removes_affected_documents(spark):
+    docs, items = leak_data(3)
+    d = spark.createDataFrame([(i, t, "kept") for i, t in docs], "doc_id long, text string, source string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    left = contamination.decontaminate(d, b, window=5)
+    hit = {i for i, _, n, _ in brute_scan(docs, items, 5) if n}
+    assert left.columns == d.columns
+    assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted((i for i, _ in docs if i not in hit), key=str)
+
+
+def test_a_shared_passage_in_thousands_of_copies(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    d = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("pre"), F.lit(passage), F.col("id").cast("string")).alias("text"))
+    b = spark.createDataFrame([(1, passage), (2, passage), (3, "other words only")], "item_id long, text string")
+    got = contamination.scan(d, b).agg(F.sum("n_hit").alias("n"), F.min(F.array_join("items", ",")).alias("a"), F.max(F.array_join("items", ",")).alias("z")).first()
+    assert tuple(got) == (4000 * 60, "1,2", "1,2")
+
+
+def test_the_three_queries_against_their_sql(spark):
+    import duckdb
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    for name in ("op11_fill_in_middle", "op12_vector_codes", "op13_decontamination"):
+        df = queries.QUERIES[name](spark, sf)
+        want = con.execute(queries.ORACLES[name])
+        assert [c[0] for c in want.description] == df.columns
+        assert sorted(map(str, (tuple(r) for r in df.collect()))) == sorted(map(str, want.fetchall()))
