@@ -58,9 +58,9 @@ def explode_invoices_since(pages: DataFrame, mark, outer: bool = False, field: s
     return pages.withColumn("flat_invoice", F.explode(kept)).drop("list")
 
 
-def reject_non_numeric(flat: DataFrame) -> DataFrame:
-    """Invoices whose id is no integer, or NULL: they are left out of every delta."""
-    return flat.where(numeric_id(F.col(f"{INV}.id")).isNull())
+def reject_non_numeric(flat: DataFrame, field: str = "id") -> DataFrame:
+    """Invoices whose ``field`` (the id) is no integer, or NULL: they are left out of every delta."""
+    return flat.where(numeric_id(F.col(f"{INV}.{field}")).isNull())
 
 
 def invoice_fields(inv: Column, tz: str | None = DEFAULT_TZ) -> dict[str, Column]:

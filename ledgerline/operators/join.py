@@ -91,25 +91,27 @@ def join_nested(flat: DataFrame, tz: str | None = DEFAULT_TZ, null_safe: bool =
     )
 
 
-def id_profile_frame(flat: DataFrame) -> DataFrame:
-    """One row: ``n_rows``, ``max_n`` (most records sharing a non-NULL id), ``mark``.
+def id_profile_frame(flat: DataFrame, field: str = "id") -> DataFrame:
+    """One row: ``n_rows``, ``max_n`` (most records sharing a non-NULL id), ``mark``
+    (the largest numeric ``field``, the id).
 
-    Reads only the id column.  Ids are grouped with a map-side partial count,
+    Reads only the id column (and the field).  Ids are grouped with a map-side partial count,
     so a hot id collapses to one row per task before the shuffle; the second,
     global aggregate merges one row per group.
     """
-    ids = flat.select(F.col(f"{INV}.id").alias("id"))
-    per_id = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    ids = flat.select(F.col(f"{INV}.id").alias("id"), F.col(f"{INV}.{field}").alias("field"))
+    marks = [] if field == "id" else [F.max(numeric_id(F.col("field"))).alias("field")]
+    per_id = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *marks)
     return per_id.agg(
         F.sum("n").alias("n_rows"),
         F.max(F.when(F.col("id").isNotNull(), F.col("n"))).alias("max_n"),
-        F.max(numeric_id(F.col("id"))).alias("mark"),
+        F.max(F.col("field") if marks else numeric_id(F.col("id"))).alias("mark"),
     )
 
 
-def id_profile(flat: DataFrame):
-    """(row count, ids unique?, numeric max id) of a flat set in one job."""
-    row = id_profile_frame(flat).first()
+def id_profile(flat: DataFrame, field: str = "id"):
+    """(row count, ids unique?, numeric max id or ``field``) of a flat set in one job."""
+    row = id_profile_frame(flat, field).first()
     n_rows = int(row["n_rows"] or 0)
     unique = row["max_n"] is None or row["max_n"] <= 1
     return n_rows, unique, row["mark"]

@@ -1,9 +1,11 @@
 """Query catalog: one callable per operator of the inventory.
 
 Every query takes ``(spark, sf_dir)``, reads the driver's tables (through
-the report landed from them, see ``sources.report``) and returns a lazy
+the report landed from them, see ``sources.report``) and returns a
 DataFrame whose columns carry the same names as the oracle SQL in
-``plans.oracles``.  No query depends on the session time zone or on row
+``plans.oracles``.  The report is landed, and flattened for the joins, by the first
+query that needs it; apart from that, and from the scenarios and writes below,
+building a query starts no job.  No query depends on the session time zone or on row
 order.
 
 Scenario queries (loads, control table) run the job against fresh folders
@@ -28,7 +30,9 @@ from ledgerline.plans.oracles import NEW_YORK, RUN_TS
 from ledgerline.plans.runs import LoadSettings, read_published, run_load
 from ledgerline.session import fresh_dir
 from ledgerline.sinks import parquet as pq
-from ledgerline.sources import fixtures, inline_rows, land_driver_report, land_pages, read_parquet, read_report
+from ledgerline.sources import (
+    fixtures, flat_driver_report, inline_rows, land_driver_fetches, land_driver_report, land_pages, read_parquet, read_report,
+)
 from ledgerline.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,15 +61,13 @@ def _flat(spark: SparkSession, sf_dir: str, headers_only: bool = False, schema=N
 
 
 def _joined(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """JON-01 from the landed report, strategy chosen as ``auto`` does.
+    """JON-01 from the flattened report, strategy chosen as a load does.
 
-    The id check reads the pages with an id-only schema: Catalyst does not
-    prune nested JSON fields, so checking ids on the full read would parse
-    every field of every record a second time.
+    The report is parsed once into the flat set, with the answer whether its ids are
+    unique stored beside it; so this reads columnar Parquet and starts no job.
     """
-    ids = _flat(spark, sf_dir, schema=schemas.page_schema(("id",), ()))
-    strategy = "nested" if join.ids_are_unique(ids) else "shuffle"
-    return join.join_flat(_flat(spark, sf_dir), strategy=strategy, **options)
+    flat, unique = flat_driver_report(spark, sf_dir)
+    return join.join_flat(flat, strategy="nested" if unique else "shuffle", **options)
 
 
 def _half_mark(spark: SparkSession, sf_dir: str) -> int:
@@ -107,23 +109,22 @@ def _full_scenario(spark: SparkSession, sf_dir: str) -> LoadSettings:
 
 
 def _incremental_scenario(spark: SparkSession, sf_dir: str, crash: bool = False) -> LoadSettings:
-    """Seed, full load of the first half, incremental load of the whole report.
+    """Seed, full load of a first fetch with the lower half of the invoices, incremental
+    load of a second one that begins at a quarter: the run opens that fetch only, and the
+    mark leaves out what the first one held.
 
     With ``crash`` an earlier attempt of the incremental run has left other
-    rows in its partition without being published.
+    rows in a folder of its own without being published.
     """
     def build():
         half = _half_mark(spark, sf_dir)
-        first = land_driver_report(spark, sf_dir, max_order_key=half)
-        s = _settings(spark, first)
+        s = _settings(spark, land_driver_fetches(spark, sf_dir, [(None, half), (half // 2, None)]))
         control.RunHistory(spark, s.control_path).seed(run_ts=RUN_TS)
-        run_load(spark, s, run_ts=RUN_TS)
-        s2 = replace(s, report_path=land_driver_report(spark, sf_dir))
+        run_load(spark, replace(s, up_to_fetch="fetch-1"), run_ts=RUN_TS)
         if crash:
-            stale = read_published(spark, s).drop(pq.RUN_COLUMN)
-            pq.write_run_partition(stale, s.target_path, 2)
-        run_load(spark, s2, run_ts=RUN_TS)
-        return s2
+            pq.write_attempt(read_published(spark, s), s.target_path, 2, "crashed")
+        run_load(spark, s, run_ts=RUN_TS)
+        return s
     return _memo(("incremental", crash, sf_dir, id(spark.sparkContext)), build)
 
 
@@ -263,7 +264,7 @@ def ensure_table(spark, sf_dir):
     path = fresh_dir(spark, "ensure")
     pq.ensure_table(spark, path, schemas.INVOICE_DATA_DDL)
     joined = _joined(spark, sf_dir)
-    pq.conform(joined, schemas.INVOICE_DATA_DDL).write.mode("append").parquet(path)
+    pq.insert_into(pq.conform(joined, schemas.INVOICE_DATA_DDL), path)
     return read_parquet(spark, path, schemas.INVOICE_DATA_DDL)
 
 

@@ -10,6 +10,15 @@ created exclusively, so of two runs that started from one version the second
 fails with ``FileExistsError`` and changes nothing.  A crash before the marker
 leaves the previous version current.
 
+A closed row names the attempt whose folders hold the run's rows, and the fetches it
+has read.  So data is published by the same marker: what another attempt of the run
+wrote is never read.
+
+A run owns its row through a lease, taken before its first write: a numbered file,
+created exclusively, with the owner and a time.  A second run of the same row stops at
+once while the lease holds, and takes it over when its time is past.  The lease only
+saves work; what keeps data right is the marker.
+
 The table holds one row per run, so each snapshot is a single small file.
 Its transitions are plain DataFrame expressions (``when``, ``unionByName``,
 a global ``max``), so they can be checked like any other query.
@@ -17,14 +26,18 @@ a global ``max``), so they can be checked like any other query.
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
+from contextlib import suppress
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import run_timestamp
-from ledgerline.session import create_exclusive, list_children
+from ledgerline.session import create_exclusive, list_children, read_small
 
 # Fixed values of the control table.
 ETL_NAME = "invoice-data"
@@ -76,12 +89,17 @@ def with_action(history: DataFrame) -> DataFrame:
     )
 
 
-def close_run(history: DataFrame, run_id: int) -> DataFrame:
-    """Set ``is_active='N'`` on the run's row (CTL-01)."""
-    return history.withColumn(
-        "is_active",
-        F.when(F.col("id") == F.lit(run_id), F.lit(NO)).otherwise(F.col("is_active")),
-    )
+def close_run(history: DataFrame, run_id: int, attempt: str | None = None,
+              fetches: list[str] | None = None) -> DataFrame:
+    """Set ``is_active='N'`` on the run's row (CTL-01), and name the attempt that holds
+    its rows and the fetches it has read."""
+    own = F.col("id") == F.lit(run_id)
+    closed = history.withColumn("is_active", F.when(own, F.lit(NO)).otherwise(F.col("is_active")))
+    if attempt is not None:
+        read = F.lit(None).cast("array<string>") if fetches is None else F.array(*map(F.lit, fetches)).cast("array<string>")
+        closed = (closed.withColumn("attempt", F.when(own, F.lit(attempt)).otherwise(F.col("attempt")))
+                  .withColumn("fetches", F.when(own, read).otherwise(F.col("fetches"))))
+    return closed
 
 
 def open_run(history: DataFrame, mark, etl_name: str = ETL_NAME, run_ts: int | None = None,
@@ -104,7 +122,58 @@ def open_run(history: DataFrame, mark, etl_name: str = ETL_NAME, run_ts: int | N
         F.lit(None if fetch is None else FETCH_COLUMN).cast("string").alias("filter_col2_name"),
         F.lit(fetch).cast("string").alias("filter_col2_value"),
     )
-    return history.unionByName(new_row)
+    return history.unionByName(new_row, allowMissingColumns=True)
+
+
+def closed_runs(history: DataFrame, etl_name: str = ETL_NAME) -> DataFrame:
+    """The runs that are part of the table: the newest closed full load and the closed
+    runs after it."""
+    closed = history.where((F.col("etl_name") == etl_name) & (F.col("is_active") != YES))
+    start = closed.agg(F.max(F.when(F.col("full_load") == YES, F.col("id")))).first()[0]
+    return closed if start is None else closed.where(F.col("id") >= start)
+
+
+# --------------------------------------------------------------------- lease
+
+class RunInProgress(RuntimeError):
+    """Another run holds the lease of this control row."""
+
+
+class Lease:
+    """Ownership of one control row: ``<folder>/<n>``, the highest n counts."""
+
+    def __init__(self, spark: SparkSession, folder: str, owner: str, seconds: float, clock=time.time):
+        self.spark, self.folder, self.owner, self.seconds, self.clock = spark, folder, owner, seconds, clock
+
+    def _latest(self) -> tuple[int, dict | None]:
+        n = max((int(x) for x in list_children(self.spark, self.folder) if x.isdigit()), default=0)
+        return n, json.loads(read_small(self.spark, f"{self.folder}/{n:08d}")) if n else None
+
+    def _write(self, n: int, until: float) -> None:
+        create_exclusive(self.spark, f"{self.folder}/{n:08d}", json.dumps({"owner": self.owner, "until": until}))
+
+    def take(self) -> None:
+        """Take or renew the lease; raises RunInProgress when another run holds it."""
+        n, last = self._latest()
+        if last and last["owner"] != self.owner and last["until"] > self.clock():
+            raise RunInProgress(f"{self.folder}: held by {last['owner']} for {last['until'] - self.clock():.0f} s more")
+        try:
+            self._write(n + 1, self.clock() + self.seconds)
+        except FileExistsError:
+            raise RunInProgress(f"{self.folder}: another run has just taken it") from None
+
+    def renew(self) -> None:
+        """Before each further step: raises RunInProgress when the lease was taken over."""
+        _, last = self._latest()
+        if last is None or last["owner"] != self.owner:
+            raise RunInProgress(f"{self.folder}: taken over by {last and last['owner']}")
+        self.take()
+
+    def release(self) -> None:
+        n, last = self._latest()
+        if last and last["owner"] == self.owner:
+            with suppress(FileExistsError):
+                self._write(n + 1, 0)
 
 
 # ------------------------------------------------------------------- storage
@@ -128,10 +197,10 @@ class RunHistory:
     def table(self, version: int | None = None) -> DataFrame:
         """The current (or given) version; empty and typed when there is none."""
         v = self.current_version() if version is None else version
-        if v is None:
-            return self.spark.createDataFrame([], schemas.HISTORY)
-        folder = self.spark.read.text(self._marker(v)).first()["value"]
-        return self.spark.read.schema(schemas.HISTORY).parquet(f"{self.path}/snapshots/{folder}")
+        if not v:
+            return self.spark.createDataFrame([], schemas.HISTORY_TABLE)
+        folder = read_small(self.spark, self._marker(v)).strip()
+        return self.spark.read.schema(schemas.HISTORY_TABLE).parquet(f"{self.path}/snapshots/{folder}")
 
     def publish(self, df: DataFrame, based_on: int | None = None) -> int:
         """Publish ``df``, derived from version ``based_on`` (the current one when
@@ -140,7 +209,8 @@ class RunHistory:
         Raises FileExistsError when another run has published in between.
         """
         n = ((self.current_version() or 0) if based_on is None else based_on) + 1
-        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.HISTORY.fields])
+        out = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                          for f in schemas.HISTORY_TABLE.fields])
         folder = uuid.uuid4().hex
         # One small file per snapshot: one row per run, bounded by the run count.
         out.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/snapshots/{folder}")
@@ -154,17 +224,30 @@ class RunHistory:
         self.publish(seed_rows(self.spark, etl_name, run_ts), 0)
         return True
 
-    def active_run(self, etl_name: str = ETL_NAME) -> DataFrame:
+    def active_run(self, etl_name: str = ETL_NAME, version: int | None = None) -> DataFrame:
         """SRC-05 + FLT-03 + LIM-01: the newest active row of this pipeline."""
-        return newest(active_runs(self.table(), etl_name))
+        return newest(active_runs(self.table(version), etl_name))
+
+    def lease(self, run_id: int, owner: str, seconds: float, etl_name: str = ETL_NAME) -> Lease:
+        """The lease of a run's row, not taken yet."""
+        return Lease(self.spark, f"{self.path}/leases/{quote(etl_name, safe='')}-{run_id}", owner, seconds)
 
     def close_and_open(self, run_id: int, mark, etl_name: str = ETL_NAME,
                        run_ts: int | None = None, based_on: int | None = None,
-                       fetch: str | None = None) -> int:
+                       fetch: str | None = None, attempt: str | None = None,
+                       fetches: list[str] | None = None) -> int:
         """CTL-01 + CTL-02 as one published snapshot.
 
-        ``based_on``: the version the run started from; a run that another one
-        has overtaken since then fails here."""
+        ``based_on``: the version the run started from.  When another pipeline has
+        published meanwhile, the change is made to its version; a run whose own row
+        was closed meanwhile fails with FileExistsError."""
         version = self.current_version() if based_on is None else based_on
-        return self.publish(open_run(close_run(self.table(version), run_id), mark, etl_name, run_ts, fetch),
-                            version or 0)
+        while True:
+            table = close_run(self.table(version), run_id, attempt, fetches)
+            try:
+                return self.publish(open_run(table, mark, etl_name, run_ts, fetch), version or 0)
+            except FileExistsError:
+                version = self.current_version()
+                own = active_runs(self.table(version), etl_name).where(F.col("id") == run_id)
+                if own.isEmpty():
+                    raise

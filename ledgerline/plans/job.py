@@ -36,7 +36,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--null-safe", action="store_true", help="match NULL subscriptions")
     p.add_argument("--join-strategy", default="auto", choices=["auto", "nested", "shuffle"])
     p.add_argument("--multiline", action="store_true", help="one JSON document per file")
-    p.add_argument("--by-fetch", action="store_true", help="the report folder holds a folder per fetch")
+    p.add_argument("--by-fetch", action="store_const", const=True, default=None,
+                   help="the report folder holds a folder per fetch (else as the folder looks)")
+    p.add_argument("--whole-report", dest="by_fetch", action="store_const", const=False,
+                   help="the report folder is one cumulative report, whatever folders it holds")
+    p.add_argument("--up-to-fetch", default=None, help="name of the last fetch that this run may take")
+    p.add_argument("--filter-field", default="id", help="invoice field that a delta compares with its mark")
+    p.add_argument("--lease-seconds", type=float, default=3600.0, help="how long a run owns its control row after each step")
     p.add_argument("--on-duplicate-ids", default="fail", choices=["fail", "join"])
     p.add_argument("--seed", action="store_true", help="create the control table if absent")
     p.add_argument("--jdbc-url", default=None)
@@ -53,6 +59,7 @@ def main(argv=None) -> dict:
         lake_path=args.lake, etl_name=args.etl_name, tz=args.tz, null_safe=args.null_safe,
         join_strategy=args.join_strategy, multiline=args.multiline,
         on_duplicate_ids=args.on_duplicate_ids, by_fetch=args.by_fetch,
+        filter_field=args.filter_field, up_to_fetch=args.up_to_fetch, lease_seconds=args.lease_seconds,
         target_format="jdbc" if args.jdbc_url else "parquet", jdbc_url=args.jdbc_url,
         jdbc_table=args.jdbc_table, jdbc_driver=args.jdbc_driver,
     )

@@ -158,6 +158,13 @@ INVOICE_DATA_DDL_ORDER = [
 INVOICE_DATA = StructType([_f(c, _TYPES[c]) for c in INVOICE_DATA_COLUMNS])
 INVOICE_DATA_DDL = StructType([_f(c, _TYPES[c]) for c in INVOICE_DATA_DDL_ORDER])
 
+# The same with its NOT NULL columns: the definition that is stored beside the target.
+INVOICE_DATA_TABLE = StructType([_f(c, _TYPES[c], c not in INVOICE_DATA_NOT_NULL) for c in INVOICE_DATA_DDL_ORDER])
+
+# Invoices that a delta can't compare with its mark, each once: key (digest of id and
+# content) and whether a load has taken it (then only the key is kept).
+REJECTS = StructType(list(FLAT.fields) + [_f("digest", StringType()), _f("loaded", BooleanType())])
+
 # Run-history control table.
 HISTORY = StructType([
     _f("id", LongType(), False),
@@ -172,6 +179,13 @@ HISTORY = StructType([
     _f("filter_col2_value", StringType()),
 ])
 
+# As it is stored, with two columns of ours: the attempt whose folders hold the rows
+# of a closed run, and the fetches that the run has read.
+HISTORY_TABLE = StructType(list(HISTORY.fields) + [
+    _f("attempt", StringType()),
+    _f("fetches", ArrayType(StringType())),
+])
+
 # Employee transform input and output.
 EMPLOYEES = StructType([
     _f("id", LongType()),

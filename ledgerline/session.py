@@ -114,6 +114,32 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hpath)]
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``, sorted (empty if it does not exist)."""
+    h = _hadoop_path(spark, path)
+    if h is None:
+        p = _local(path)
+        return sorted(n for n in (os.listdir(p) if os.path.isdir(p) else []) if os.path.isdir(os.path.join(p, n)))
+    fs, hpath = h
+    if not fs.exists(hpath):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file, without a Spark job."""
+    h = _hadoop_path(spark, path)
+    if h is None:
+        with open(_local(path)) as source:
+            return source.read()
+    fs, hpath = h
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def create_exclusive(spark: SparkSession, path: str, content: str) -> None:
     """Create a small file with its content; raises FileExistsError when it exists.
 
@@ -148,9 +174,7 @@ def create_exclusive(spark: SparkSession, path: str, content: str) -> None:
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder of ours that nothing reads any more (a missing one is no error)."""
-    if "/ledgerline/" not in path:
-        raise ValueError(f"not a scratch folder of this library: {path}")
+    """Remove a folder that this library made and nothing reads any more (a missing one is no error)."""
     h = _hadoop_path(spark, path)
     if h is None:
         shutil.rmtree(_local(path), ignore_errors=True)

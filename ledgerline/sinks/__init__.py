@@ -1,11 +1,13 @@
-"""Sinks: partitioned Parquet, Parquet in a given number of files, table creation, JDBC."""
+"""Sinks: Parquet by run or attempt, defined tables, a given number of files, JDBC."""
 
 from ledgerline.sinks.jdbc import append_new_rows, read_jdbc, write_jdbc
 from ledgerline.sinks.parquet import (
-    conform, ensure_table, read_run_partition, write_files, write_run_partition,
+    DefinitionMismatch, conform, conform_to, define_table, ensure_table, insert_into, read_attempt, read_attempts,
+    read_run_partition, table_definition, write_attempt, write_files, write_run_partition,
 )
 
 __all__ = [
-    "append_new_rows", "conform", "ensure_table", "read_jdbc",
-    "read_run_partition", "write_jdbc", "write_run_partition", "write_files",
+    "DefinitionMismatch", "append_new_rows", "conform", "conform_to", "define_table", "ensure_table", "insert_into",
+    "read_attempt", "read_attempts", "read_jdbc", "read_run_partition", "table_definition", "write_attempt",
+    "write_files", "write_jdbc", "write_run_partition",
 ]

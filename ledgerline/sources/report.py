@@ -16,6 +16,7 @@ a single partition, which is why it is not the default.
 from __future__ import annotations
 
 import hashlib
+import json
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerline import schemas
-from ledgerline.session import file_fingerprint, keyed_dir, path_exists
+from ledgerline.operators.flatten import explode_invoices
+from ledgerline.operators.join import ids_are_unique
+from ledgerline.session import create_exclusive, file_fingerprint, keyed_dir, path_exists, read_small
 from ledgerline.sources import fixtures
 
 # The landing key includes the source text of the derivation and the schemas,
 # so a changed derivation never reuses an older landing.
-LANDING_VERSION = "v2"
+LANDING_VERSION = "v3"
+
+PROFILE = "_profile.json"          # beside a flat set; Spark's readers skip the name
 
 # One lock per landing folder: queries called from several threads of one
 # driver wait for a landing in progress instead of writing it twice.
@@ -76,18 +81,31 @@ def land_pages(pages: DataFrame, path: str) -> str:
 def land_documents(pages: DataFrame, path: str) -> str:
     """Write every report page as its own JSON document file, read with ``multiline=True``.
 
-    This is the reference's report shape: one document per file.
-    ``partitionBy("page_no")`` gives each page its own folder, and a page is
-    one row, so each folder holds exactly one file with one document; the
-    page number comes back from the folder name.  One file per page cannot
-    be split further, which is why line-delimited pages are the landing
-    format and this layout is kept for reports that arrive that way.
+    This is the reference's report shape: one document per file, all in one folder
+    (``maxRecordsPerFile=1``; a folder per page would cost a listing each).  One
+    file per page cannot be split further, which is why line-delimited pages are the
+    landing format and this layout is kept for reports that arrive that way.
     """
     (pages.write.mode("overwrite").option("ignoreNullFields", "true")
-        .partitionBy("page_no").json(path))
+        .option("maxRecordsPerFile", "1").json(path))
     return path
 
 
+def _landing_key(spark: SparkSession, sf_dir: str, *options: str) -> str:
+    parts = [LANDING_VERSION, _code_fingerprint(), *options]
+    parts += [file_fingerprint(spark, f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem")]
+    return hashlib.sha1("#".join(parts).encode()).hexdigest()[:16]
+
+
+def _once(spark: SparkSession, path: str, marker: str, build) -> None:
+    """Build a folder unless its marker is there, also when several threads ask for it."""
+    with _LOCKS_GUARD:
+        lock = _LANDING_LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if not path_exists(spark, f"{path}/{marker}"):
+            build()
+
+
 def land_driver_report(spark: SparkSession, sf_dir: str, max_order_key: int | None = None,
                        min_order_key: int | None = None, layout: str = "lines") -> str:
     """Land the report derived from the tables in ``sf_dir``; reuse an earlier landing.
@@ -101,16 +119,37 @@ def land_driver_report(spark: SparkSession, sf_dir: str, max_order_key: int | No
     writers = {"lines": land_pages, "documents": land_documents}
     if layout not in writers:
         raise ValueError(f"unknown landing layout: {layout}")
-    parts = [LANDING_VERSION, _code_fingerprint(), str(min_order_key), str(max_order_key)]
-    if layout != "lines":
-        parts.append(layout)
-    for name in ("orders", "lineitem"):
-        parts.append(file_fingerprint(spark, f"{sf_dir}/{name}.parquet"))
-    key = hashlib.sha1("#".join(parts).encode()).hexdigest()[:16]
+    key = _landing_key(spark, sf_dir, str(min_order_key), str(max_order_key), layout)
     path = keyed_dir(spark, "landing", key)
-    with _LOCKS_GUARD:
-        lock = _LANDING_LOCKS.setdefault(path, threading.Lock())
-    with lock:
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            writers[layout](fixtures.report_pages(spark, sf_dir, max_order_key, min_order_key), path)
+    _once(spark, path, "_SUCCESS",
+          lambda: writers[layout](fixtures.report_pages(spark, sf_dir, max_order_key, min_order_key), path))
     return path
+
+
+def land_driver_fetches(spark: SparkSession, sf_dir: str, ranges: list[tuple[int | None, int | None]]) -> str:
+    """Land one fetch (``fetch-1``, ``fetch-2`` ...) for each (smallest, largest) order
+    key under one report folder; reuse an earlier landing."""
+    root = keyed_dir(spark, "fetches", _landing_key(spark, sf_dir, *map(str, ranges)))
+    for n, (low, high) in enumerate(ranges, 1):
+        path = f"{root}/fetch-{n}"
+        _once(spark, path, "_SUCCESS",
+              lambda p=path, lo=low, hi=high: land_pages(fixtures.report_pages(spark, sf_dir, hi, lo), p))
+    return root
+
+
+def flat_driver_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """(the landed report as a flat set in Parquet, whether its invoice ids are unique).
+
+    Flattened and profiled once per landing, as a load does it; both are kept beside
+    each other, so later queries start no job to choose their join."""
+    report = land_driver_report(spark, sf_dir)
+    path = keyed_dir(spark, "flat", report.rstrip("/").rsplit("/", 1)[-1])
+
+    def build():
+        flat = explode_invoices(read_report(spark, report))
+        flat.select(*[f.name for f in schemas.FLAT.fields]).write.mode("overwrite").parquet(path)
+        unique = ids_are_unique(spark.read.schema(schemas.FLAT).parquet(path))
+        create_exclusive(spark, f"{path}/{PROFILE}", json.dumps({"unique": unique}))
+
+    _once(spark, path, PROFILE, build)
+    return spark.read.schema(schemas.FLAT).parquet(path), json.loads(read_small(spark, f"{path}/{PROFILE}"))["unique"]

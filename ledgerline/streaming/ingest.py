@@ -8,29 +8,38 @@ whatever its ids look like (late, lower or non-numeric ids are not lost).
 
 ``trigger(availableNow=True)`` processes everything landed so far and stops,
 so the same code runs as a scheduled batch job or continuously.  Each
-micro-batch is flattened and joined like a batch run and written as
-partition ``batch_id`` with dynamic overwrite: a micro-batch replayed after
-a failure replaces its own partition, which makes the sink idempotent.
+micro-batch is flattened like a batch run and written to the lake, partition
+``batch_id``; a replayed batch keeps a finished lake partition and
+replaces its own target partition, which makes both writes idempotent.
 
 A fetch may repeat invoices of an earlier one.  A batch leaves out the rows whose
 (invoice_id, id) an earlier batch has stored: the first stored row stays.  Rows
-without one of the two ids can't be told apart and are all kept.
+without one of the two ids can't be told apart and are all kept.  Which keys are new is
+kept as streaming state: a second query follows the lake and drops the keys it has
+met before (``dropDuplicates`` on RocksDB), one lake partition a batch.  So a
+batch reads its own lake partition, and looks up and adds its own keys; neither the target nor
+earlier keys are read, however long the history is.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline import schemas
 from ledgerline.functions.dates import DEFAULT_TZ
-from ledgerline.operators.flatten import explode_invoices
+from ledgerline.operators.flatten import INV, explode_invoices
 from ledgerline.operators.join import id_profile, join_flat
 from ledgerline.session import path_exists
-from ledgerline.sinks.parquet import conform, read_run_partition, write_run_partition
+from ledgerline.sinks.parquet import RUN_COLUMN, conform, read_run_partition, with_run_column, write_run_partition
 
 BATCH_COLUMN = "batch_id"
 ROW_KEY = ["invoice_id", "id"]
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def page_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,54 +50,90 @@ def page_stream(spark: SparkSession, landing_glob: str, max_files_per_trigger: i
     return reader.json(landing_glob)
 
 
+@contextmanager
+def _keyed_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (on disk, looked up by key)."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
+
+
+def row_keys(flat: DataFrame) -> DataFrame:
+    """(invoice_id, id) of the line items of a flat set, where both are there."""
+    items = flat.select(F.col(f"{INV}.id").alias("invoice_id"), F.explode(F.col(f"{INV}.line_items.id")).alias("id"))
+    return items.where("invoice_id IS NOT NULL AND id IS NOT NULL")
+
+
+def only_new(rows: DataFrame, new_keys: DataFrame) -> DataFrame:
+    """The rows whose key is new, and those without a whole key (``new_keys`` holds each once)."""
+    marked = rows.join(new_keys.withColumn("__new", F.lit(True)), ROW_KEY, "left")
+    return marked.where("__new OR invoice_id IS NULL OR id IS NULL").select(*rows.columns)
+
+
 def ingest_available(spark: SparkSession, landing_glob: str, target_path: str, checkpoint_path: str,
                      lake_path: str, tz: str | None = DEFAULT_TZ, null_safe: bool = False,
-                     join_strategy: str = "auto", on_duplicate_ids: str = "fail") -> int:
-    """Process every page landed so far; returns the number of micro-batches run.
+                     join_strategy: str = "auto", on_duplicate_ids: str = "fail",
+                     max_files_per_trigger: int | None = None, progress: list | None = None) -> int:
+    """Process every page landed so far; returns the number of micro-batches written.
 
     Each micro-batch follows the batch load: the pages are parsed once and
     the flat set is written to the lake (partition ``batch_id``); the id
     profile and the join read that Parquet.
     Unique ids take the join without a shuffle; a repeated id fails the
     batch unless ``on_duplicate_ids="join"`` (relational join, rows multiply).
+    ``progress`` gets (query, input rows) of every micro-batch of the two queries.
     """
     batches: list[int] = []
+    lake_path = lake_path.rstrip("/")
+
+    def run(query, name: str) -> None:
+        query.awaitTermination()
+        if progress is not None:
+            progress.extend((name, p["numInputRows"]) for p in query.recentProgress if p["numInputRows"])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        flat = explode_invoices(batch).select(*[f.name for f in schemas.FLAT.fields])
-        write_run_partition(flat, lake_path, batch_id)
-        flat = read_run_partition(spark, lake_path, schemas.FLAT, batch_id)
-        n_rows, unique, _ = id_profile(flat)
+        if not path_exists(spark, f"{lake_path}/{RUN_COLUMN}={batch_id}/_SUCCESS"):
+            flat = explode_invoices(batch).select(*[f.name for f in schemas.FLAT.fields])
+            write_run_partition(flat, lake_path, batch_id)
+        n_rows, unique, _ = id_profile(read_run_partition(spark, lake_path, schemas.FLAT, batch_id))
         if n_rows == 0:
             return
         if not unique and on_duplicate_ids == "fail":
             raise ValueError(f"micro-batch {batch_id}: invoice ids repeat across report records")
         strategy = join_strategy if join_strategy != "auto" else ("nested" if unique else "shuffle")
-        joined = join_flat(flat, tz, null_safe, strategy)
-        out = conform(joined, schemas.INVOICE_DATA_DDL)
-        if path_exists(spark, target_path):
-            # Only the two key columns of earlier batches are read.
-            earlier = read_ingested(spark, target_path).where(F.col(BATCH_COLUMN) < batch_id)
-            out = out.join(earlier.select(*ROW_KEY).distinct(), ROW_KEY, "left_anti").select(*out.columns)
-        (out.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COLUMN)
-            .parquet(target_path))
-        batches.append(batch_id)
+
+        def store(new_keys: DataFrame, _) -> None:
+            # The one action on the keys: each evaluation would look them up again.
+            flat = read_run_partition(new_keys.sparkSession, lake_path, schemas.FLAT, batch_id)
+            out = only_new(conform(join_flat(flat, tz, null_safe, strategy), schemas.INVOICE_DATA_DDL), new_keys)
+            out.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+            batches.append(batch_id)
+
+        # The lake's files that this query has not met are those of this batch.
+        lake = spark.readStream.schema(with_run_column(schemas.FLAT)).parquet(lake_path)
+        with _keyed_state(spark):
+            keys = (row_keys(lake).dropDuplicates(ROW_KEY).writeStream.foreachBatch(store)
+                    .option("checkpointLocation", f"{checkpoint_path.rstrip('/')}_keys")
+                    .trigger(availableNow=True).start())
+        run(keys, "keys")
 
     query = (
-        page_stream(spark, landing_glob)
+        page_stream(spark, landing_glob, max_files_per_trigger)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    run(query, "pages")
     return len(batches)
 
 
 def read_ingested(spark: SparkSession, target_path: str) -> DataFrame:
-    from pyspark.sql.types import LongType, StructField, StructType
-
     schema = StructType(list(schemas.INVOICE_DATA_DDL.fields) + [StructField(BATCH_COLUMN, LongType())])
     return spark.read.schema(schema).parquet(target_path)

@@ -148,6 +148,36 @@ def test_target_read_prunes_to_the_run_and_the_key(spark, lake):
     assert re.search(r"PartitionFilters: \[.*run_id.* = 2\)", text)
 
 
+# Queries that write a table of their own, or check one by an aggregate, when they are built.
+EAGER = {"ensure_table", "parquet_roundtrip", "parquet_single_file", "schema_check", "reconcile", "load_empty_delta"}
+# Scenarios and their control rows: a snapshot's name, the runs of the table, the mark of the first half.
+SCENARIOS = {"load_full", "load_incremental", "load_replay", "control_active_run", "control_close_open", "watermark_cleanup",
+             "run_gate", "stream_ingest", "delta_filter", "delta_filter_pushed"}
+
+
+# Spark reads the columns of the driver's own tables from a file's footer.
+FOOTERS = {"employee_report", "mean_steps"}
+
+
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - EAGER - SCENARIOS - FOOTERS))
+def test_building_a_query_starts_no_job(spark, key):
+    QUERIES[key](spark, SMOKE_DIR)                       # the report is landed and flattened once
+    sc, group = spark.sparkContext, f"build-{key}"
+    sc.setJobGroup(group, key)
+    try:
+        QUERIES[key](spark, SMOKE_DIR)
+        assert list(sc.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_joins_read_the_flattened_report(spark):
+    for key in ("join_invoice_items_nested", "join_invoice_items_left", "row_count"):
+        with large_data_plans(spark):
+            text = plan(QUERIES[key](spark, SMOKE_DIR))
+        assert "FileScan parquet" in text and "json" not in text, key
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_evaluation_in_any_catalog_query(spark, key):
     text = plan(QUERIES[key](spark, SMOKE_DIR))
