@@ -26,11 +26,6 @@ def max_invoice_id(invoices: DataFrame, column: str = "id") -> DataFrame:
     )
 
 
-def collect_mark(invoices: DataFrame, column: str = "id"):
-    """The numeric high-water mark as a Python int (None if no id is numeric)."""
-    return invoices.agg(F.max(numeric_id(F.col(column))).alias("m")).first()["m"]
-
-
 def mean_of(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
     """Global mean of one column (AGG-02)."""
     return df.agg(F.mean(F.col(column)).alias(alias or f"avg_{column}"))

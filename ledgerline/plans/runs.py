@@ -58,7 +58,7 @@ from ledgerline.plans.control import (
 from ledgerline.session import child_folders, delete_folder, list_children, path_exists
 from ledgerline.sinks.jdbc import append_new_rows, write_jdbc
 from ledgerline.sinks.parquet import (
-    ATTEMPT_COLUMN, RUN_COLUMN, attempt_folder, conform, conform_to, define_table, read_attempt, read_attempts,
+    ATTEMPT_COLUMN, RUN_COLUMN, attempt_folder, check_columns, conform, conform_to, define_table, read_attempt, read_attempts,
     table_definition, with_run_column, write_attempt,
 )
 from ledgerline.sources.report import read_report
@@ -357,7 +357,7 @@ def _define_target(spark: SparkSession, s: LoadSettings) -> None:
     define_table(spark, s.target_path, schema, [RUN_COLUMN, ATTEMPT_COLUMN],
                  {"control_path": s.control_path, "etl_name": s.etl_name})
     # A table of another shape is refused before anything is written to it.
-    conform_to(spark.createDataFrame([], schema), table_definition(spark, s.target_path).schema, s.target_path)
+    check_columns(schema, table_definition(spark, s.target_path).schema, s.target_path)
 
 
 def remove_orphans(spark: SparkSession, s: LoadSettings, superseded: bool = False) -> list[str]:

@@ -144,19 +144,24 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def check_columns(given: StructType, schema: StructType, table: str = "the table") -> None:
+    """Refuse another set of columns, or another type, than defined."""
+    types = {f.name: f.dataType for f in given.fields}
+    wrong = [f"{f.name}: {f.dataType.simpleString()} is defined, {types[f.name].simpleString()} given"
+             if f.name in types else f"{f.name}: missing"
+             for f in schema.fields if types.get(f.name) != f.dataType]
+    wrong += [f"{name}: not defined" for name in types if name not in schema.fieldNames()]
+    if wrong:
+        raise DefinitionMismatch(f"{table}: " + "; ".join(wrong))
+
+
 def conform_to(df: DataFrame, schema: StructType, table: str = "the table") -> DataFrame:
     """``df`` in the order of a definition, held to it.
 
-    Another set of columns or another type is refused here; a NULL in a NOT NULL column
+    Other columns or types are refused here; a NULL in a NOT NULL column
     fails the task that meets it, so the write ends without a single row being committed.
     """
-    given = {f.name: f.dataType for f in df.schema.fields}
-    wrong = [f"{f.name}: {f.dataType.simpleString()} is defined, {given[f.name].simpleString()} given"
-             if f.name in given else f"{f.name}: missing"
-             for f in schema.fields if given.get(f.name) != f.dataType]
-    wrong += [f"{name}: not defined" for name in given if name not in schema.fieldNames()]
-    if wrong:
-        raise DefinitionMismatch(f"{table}: " + "; ".join(wrong))
+    check_columns(df.schema, schema, table)
 
     def held(f: StructField):
         c = F.col(f.name)
