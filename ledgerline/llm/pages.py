@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -50,6 +50,8 @@ _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|masthead|menu|"
     r"modal|nav|navbar|navigation|newsletter|notice|popup|promo|related|share|sharing|sidebar|social|sponsor\w*|"
     r"subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_HEAD = "header of an article"
 _FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog"}
 
 
@@ -60,6 +62,8 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int]] = []
         self.open: list[tuple[str, int]] = []         # block and furniture elements with their zone
+        self.depth: Counter[str] = Counter()          # how many of them are open, by name
+        self.heads: list[list] = []                   # headers in articles: [first line, holds a heading]
         self.held: list[str] = []
 
     def zone(self) -> int:
@@ -78,11 +82,16 @@ class _Lines(HTMLParser):
         if block:
             self.flush()
             if self.open and self.open[-1][0] == "p":   # a block ends an open paragraph
-                self.open.pop()
+                self.close_from(len(self.open) - 1)
         if tag in _VOID:
             return
         given = dict(attrs)
-        marked = (tag in _FURNITURE or given.get("role") in _FURNITURE_ROLES or "hidden" in given
+        # The head of an article is text if it holds a heading, which its end tells.
+        head = tag == "header" and self.zone() == ARTICLE
+        if tag in _HEADINGS:
+            for h in self.heads:
+                h[1] = True
+        marked = (tag in _FURNITURE and not head or given.get("role") in _FURNITURE_ROLES or "hidden" in given
                   or tag != "body" and tag != "html" and
                   _MARKED.search(f"{given.get('class') or ''} {given.get('id') or ''}") is not None)
         if block or marked:
@@ -93,7 +102,22 @@ class _Lines(HTMLParser):
                 zone = FURNITURE
             elif tag in ("article", "main") or given.get("role") == "main":
                 zone = ARTICLE
-            self.open.append((tag, zone))
+            if head and zone == ARTICLE:
+                self.heads.append([len(self.lines), False])
+            elif head:
+                head = False
+            self.open.append((_HEAD if head else tag, zone))
+            self.depth[tag] += 1
+
+    def close_from(self, k: int) -> None:
+        """Ends the open elements from the k-th on."""
+        for tag, _ in self.open[k:]:
+            self.depth["header" if tag == _HEAD else tag] -= 1
+            if tag == _HEAD:
+                first, headed = self.heads.pop()
+                if not headed:
+                    self.lines[first:] = [(x, FURNITURE) for x, _ in self.lines[first:]]
+        del self.open[k:]
 
     def handle_startendtag(self, tag, attrs):
         if tag in _VOID:
@@ -104,10 +128,12 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in _BLOCKS:
             self.flush()
+        if not self.depth[tag]:                        # nothing to end: no search through what is open
+            return
         for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
+            if self.open[k][0] == tag or tag == "header" and self.open[k][0] == _HEAD:
                 self.flush()
-                del self.open[k:]
+                self.close_from(k)
                 break
 
     def handle_data(self, data):
@@ -121,6 +147,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     reader.feed(html)
     reader.close()
     reader.flush()
+    reader.close_from(0)
     return reader.lines
 
 
@@ -155,11 +182,23 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-def main_text(lines: list[tuple[str, int]], neighbour: list[int]) -> tuple[str, int]:
-    """The text of a page and the number of lines that its neighbour shares."""
+def main_text(lines: list[tuple[str, int]], neighbour: list[int]) -> tuple[str, int, int]:
+    """The text of a page, the number of lines that its neighbour shares, and of those left out for
+    their place in the page alone.
+
+    The alignment decides first: a shared line goes.  The structure overrules it in an article, whose lines another
+    page may repeat, and takes out furniture that no neighbour shares.
+    """
     shared = shared_lines([hash(x) for x, _ in lines], neighbour)
-    kept = [x for i, (x, zone) in enumerate(lines) if zone == ARTICLE or zone == OTHER and i not in shared]
-    return "\n\n".join(kept), len(shared)
+    kept, placed = [], 0
+    for i, (x, zone) in enumerate(lines):
+        if i in shared and zone != ARTICLE:
+            continue
+        if zone == FURNITURE:
+            placed += 1
+            continue
+        kept.append(x)
+    return "\n\n".join(kept), len(shared), placed
 
 
 def with_edges(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
@@ -192,7 +231,7 @@ def with_edges(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars and shared_lines of every page."""
+    """page_id, url, text, n_chars of every page, its lines that the neighbour shares, and those left out as furniture alone."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"),
@@ -227,15 +266,15 @@ def extract(pages: DataFrame) -> DataFrame:
             yield _rows([(*waiting[:2], *main_text(waiting[2], []))], None)
 
     def _rows(out, kind):
-        cols = list(zip(*out)) if out else [[]] * 4
+        cols = list(zip(*out)) if out else [[]] * 5
         kind = kind or pa.int64()
         return pa.RecordBatch.from_arrays(
             [pa.array(cols[0], kind), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()),
-             pa.array([len(t) for t in cols[2]], pa.int64()), pa.array(cols[3], pa.int64())],
-            ["page_id", "url", "text", "n_chars", "shared_lines"])
+             pa.array([len(t) for t in cols[2]], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
+            ["page_id", "url", "text", "n_chars", "shared_lines", "furniture_lines"])
 
     keys = ("host", "path", "page_id", "url")
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (with_edges(rows, keys, n).repartitionById(n, F.col("place"))
             .sortWithinPartitions("place", *keys, F.xxhash64("html"))
-            .mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long, shared_lines long"))
+            .mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long, shared_lines long, furniture_lines long"))
