@@ -125,8 +125,9 @@ def fit(pairs, max_words: int, cut: int = 4) -> bytes:
         members = [x for x in names if family_of(x) == kind]
         for a, b in combinations(members, 2):
             add(f"pair {a} {b}", (langs == a) | (langs == b), np.where(langs == a, 1.0, -1.0))
+    letters = sorted({ord(c) for w in vocabulary for c in w if c.isalpha()})
     out = io.BytesIO()
-    np.savez(out, names=np.array(names), machines=np.array(machines, dtype=str),
+    np.savez(out, letters=np.array(letters, np.int64), names=np.array(names), machines=np.array(machines, dtype=str),
              weights=np.array(weights, np.float32).reshape(len(machines), 1 << BITS).T, biases=np.array(biases))
     return out.getvalue()
 
@@ -169,15 +170,28 @@ def decide(margins: np.ndarray, names: list[str], machines: list[str]) -> tuple[
     return out.tolist(), confidence
 
 
-def predict(docs: DataFrame, model: bytes) -> DataFrame:
+def known_letters(words: list[str], codes: np.ndarray, doc: np.ndarray, n: int, letters: np.ndarray) -> np.ndarray:
+    """The share of each text's letters that occur in the texts learned from."""
+    chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+    owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+    kinds, which = np.unique(chars, return_inverse=True)
+    alpha = np.array([chr(c).isalpha() for c in kinds.tolist()], bool)
+    counts = [np.bincount(doc, np.bincount(owner, flag[which], len(words))[codes], n)
+              for flag in (alpha, alpha & np.isin(kinds, letters))]
+    return counts[1] / np.maximum(counts[0], 1)
+
+
+def predict(docs: DataFrame, model: bytes, out: tuple[str, str] = ("lang_pred", "score"),
+            letters: bool = False) -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1), whole texts, no shuffle.
 
-    All columns of ``docs`` are kept; columns named lang_pred or score are replaced.
+    All columns of ``docs`` are kept; columns of the two names of ``out`` are replaced.  With
+    ``letters`` the score is multiplied by the share of letters that were met in learning.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema, T.StructField(out[0], T.StringType()),
+                           T.StructField(out[1], T.DoubleType())])
     names_out = schema.names
     place = docs.columns.index("text")
 
@@ -190,7 +204,7 @@ def predict(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             for part in text_slices([batch.append_column("__text", batch.column(place))], "__text"):
                 texts = part.column(part.num_columns - 1)
-                letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
+                lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
                 langs, score = ["und"] * len(texts), np.zeros(len(texts))
                 if known is not None:
                     codes, first, words = unicode_words(texts)
@@ -202,10 +216,36 @@ def predict(docs: DataFrame, model: bytes) -> DataFrame:
                         margins[:, k] = np.bincount(doc, weights=by_word[codes, k], minlength=len(texts))
                     margins = margins / np.maximum(sizes, 1)[:, None] + biases
                     found, sure = decide(margins, names, machines)
-                    langs = [x if ok else "und" for x, ok in zip(found, letters)]
-                    score = np.where(letters, sure, 0.0)
+                    langs = [x if ok else "und" for x, ok in zip(found, lettered)]
+                    score = np.where(lettered, sure, 0.0)
+                    if letters and len(codes):
+                        score *= known_letters(words, codes, doc, len(texts), known["letters"])
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in range(part.num_columns - 1)), pa.array(langs, pa.string()),
                      pa.array(score)], names_out)
 
     return docs.mapInArrow(run, schema)
+
+
+LEAST_CONFIDENCE = 0.3
+
+
+def accepted(docs: DataFrame, model: bytes, wanted: tuple[str, ...] | None = None,
+             least: float = LEAST_CONFIDENCE) -> DataFrame:
+    """The rows of ``docs`` whose text is told to be of a wanted language (None: of any that was
+    learned) with at least that confidence, in their own columns.
+
+    The model always names one of its languages.  The confidence here counts the letters too: it is
+    multiplied by the share of them that the learned texts hold, so a text in another script comes to about 0,
+    and a mixed one to its known part.  Another language in the same letters isn't told apart.
+    Texts without a letter, null ones too, are of no language.  Without a model (no labels)
+    every text with a letter is accepted; with one learned language the letters decide.
+    """
+    lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+    if not model:
+        return lettered
+    told = predict(docs, model, ("__lang_pred", "__score"), letters=True)
+    keep = (F.col("__lang_pred") != "und") & (F.col("__score") >= F.lit(least))
+    if wanted is not None:
+        keep &= F.col("__lang_pred").isin(*wanted)
+    return told.where(keep).select(*docs.columns)

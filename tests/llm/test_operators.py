@@ -70,43 +70,70 @@ def test_topk_of_an_empty_table(spark):
 
 # 2 -------------------------------------------------------------------------------------------------
 def brute_selection(text):
-    """(hash-independent check) window minima of given gram hashes, rightmost on ties."""
-    def pick(grams):
-        if not grams:
-            return []
-        w = min(winnow.WINDOW, len(grams))
-        out = []
-        for i in range(len(grams) - w + 1):
-            low = min(grams[i:i + w])
-            p = max(j for j in range(i, i + w) if grams[j] == low)
-            if (low, p) not in out:
-                out.append((low, p))
-        return out
+    """Window minima of the hashes of all runs of characters, rightmost on ties, with the query's own numbers."""
     import xxhash
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    one = lambda b, seed=42: xxhash.xxh64_intdigest(b, seed=seed)
-    pair = lambda x, y: one(y.to_bytes(8, "little"), one(x.to_bytes(8, "little")))
-    h = [one(p.encode()) for p in regex.findall(r"[^ \t\n\x0b\f\r]{1,4}", text)]
-    n = len(h)
-    if 0 < n < winnow.K:
-        seed = 42
-        for x in h:
-            seed = one(x.to_bytes(8, "little"), seed)
-        return pick([signed(seed) >> 32])
-    for step in (1, 2):
-        h = [pair(x, y) for x, y in zip(h, h[step:])]
-    return pick([signed(x) >> 32 for x in h])
-
-
-def test_winnowing_selects_rightmost_window_minima(spark, documents):
+
+    c = [ch for ch in text if ch not in " \t\n\x0b\f\r"]
+    runs = ["".join(c[i:i + 16]) for i in range(max(1, len(c) - 15))] if c else []
+    grams = [signed(xxhash.xxh64_intdigest(r.encode(), seed=42)) >> 31 for r in runs]
+    if not grams:
+        return []
+    w, out = min(16, len(grams)), []
+    for i in range(len(grams) - w + 1):
+        low = min(grams[i:i + w])
+        p = max(j for j in range(i, i + w) if grams[j] == low)
+        if (low, p) not in out:
+            out.append((low, p))
+    return out
+
+
+def winnow_texts():
     random.seed(5)
-    texts = ["", "ab", "one two three", "aaaa " * 30] + [" ".join(random.choice(["red", "green", "blue", "x"])
-                                                                 for _ in range(random.randrange(1, 60))) for _ in range(20)]
-    df = winnow.with_selection(documents([(i, t, "en") for i, t in enumerate(texts)]), "text", "sel")
-    for r in df.select("text", winnow.entries("sel").alias("e")).collect():
+    pick = lambda letters, n: "".join(random.choice(letters) for _ in range(n))
+    texts = ["", "ab", " \n ", "one two three", "aaaa " * 30, "x" * 15, "x" * 16, "y" * 31, "日本語テスト😀" * 9]
+    texts += [pick("ab ", n) for n in (20, 40, 61, 62, 63, 77, 92, 93, 124, 200)]
+    return texts + [pick("abcdefgh é😀", random.randrange(1, 400)) for _ in range(30)]
+
+
+@pytest.mark.parametrize("pieces", [(), (32,), (100, 7), winnow.PIECES])
+def test_winnowing_selects_rightmost_window_minima(documents, pieces):
+    df = documents([(i, t, "en") for i, t in enumerate(winnow_texts())])
+    sel = winnow.selection(winnow.without_space(F.col("text")), pieces)
+    for r in df.withColumn("sel", sel).select("text", winnow.entries("sel").alias("e")).collect():
         assert [(x["hash"], x["position"]) for x in r["e"]] == brute_selection(r["text"])
 
 
+def test_winnowing_of_edited_texts_equals_their_own_selection(spark):
+    """Every pair of texts, cut at every kind of place: around both thresholds and in space."""
+    texts = winnow_texts()
+    random.seed(6)
+    rows = []
+    for k in range(900):
+        a, b = random.choice(texts), random.choice(texts)
+        i, j = (random.choice([0, 1, len(x), len(x) // 2, random.randrange(len(x) + 1)]) for x in (a, b))
+        rows.append((k, a, a[:i], b, b[:j], a[:i] + b[:j]))
+    bare = lambda c: winnow.without_space(F.col(c))
+    df = spark.createDataFrame(rows, "k int, a string, head string, b string, tail string, whole string").repartition(8)
+    df = df.select("k", "whole", winnow.seam_selection(winnow.selection(bare("a")), bare("head"), winnow.selection(bare("b")), bare("tail")).alias("got"),
+                   winnow.selection(bare("whole")).alias("want"))
+    assert df.where("got <> want").count() == 0
+    some = df.where("k % 30 = 0").select("whole", winnow.entries("got").alias("e")).collect()
+    assert all([(x["hash"], x["position"]) for x in r["e"]] == brute_selection(r["whole"]) for r in some)
+
+
+def test_winnowing_fingerprints_match_brute_force(documents):
+    texts = winnow_texts()
+    rows = sorted(((i, t) for i, t in enumerate(texts)), reverse=True)
+    got = {r["doc_id"]: r for r in winnow.fingerprints(documents([(i, t, "en") for i, t in rows]), docs_per_bucket=7).collect()}
+    alike = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        half = len(t) // 2
+        own, new, nxt = ({h for h, _ in brute_selection(x)} for x in (t, t[:len(t) - half] + after[:half], after))
+        assert got[i]["near_edited"] == pytest.approx(alike(own, new)) and got[i]["near_next"] == pytest.approx(alike(own, nxt))
+
+
 def test_winnowing_edits_with_the_next_document(documents):
     rows = [(i, t) for i, t, _ in ODD if i is not None and i != 5] + [(40, "a lone far id " * 9)]
     got = {r["doc_id"]: r for r in winnow.fingerprints(documents([(i, t, "en") for i, t in rows]), docs_per_bucket=2).collect()}
@@ -415,16 +442,174 @@ def test_pipeline_stages_equal_their_operators(spark, tmp_path):
     assert packed.where("length <= 0").count() == 0 and {r["doc_id"] for r in packed.collect()} <= want
 
 
+def pipeline_tables(spark, folder, rows, labels):
+    df = spark.createDataFrame([(i, t, lang, "src", 1) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return df
+
+
+def test_pipeline_of_odd_tables(spark, scratch):
+    import corpus_pipeline
+    prose = lambda k: f"the quiet river number {k} runs past mill {k} and under bridge {k} towards the sea again"
+    rows = [(i, prose(i), "en") for i in range(20)]
+    rows += [(None, prose(50), "en"), (None, "", "en"), (3, prose(3), "en"), (4, "quite another text under a taken id with words enough to stand alone", "en"),
+             (70, None, "en"), (71, "  ", "en"), (72, "12 34", "en"), (73, prose(19), "en")]
+    sf = scratch("odd-pipeline")
+    docs = pipeline_tables(spark, sf, rows, [])                             # no labels at all
+    assert corpus_pipeline.drop_toxic(spark, docs, sf).count() == len(rows)
+    lettered = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    assert corpus_pipeline.drop_unknown_language(spark, docs, sf).count() == len(lettered)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == sorted(
+        (str(i), t or "") for i, t, _ in dict.fromkeys(rows) if i != 73)     # both texts of id 4, one of each repeated row
+    packed = corpus_pipeline.run(spark, sf).collect()
+    assert {r["doc_id"] for r in packed} == {None, *range(20)} and sum(r["doc_id"] == 4 for r in packed) == 2
+    empty = scratch("empty-pipeline")
+    pipeline_tables(spark, empty, [], [])
+    assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_language_stage_rejects_what_was_never_learned_or_is_not_wanted(spark, scratch):
+    import corpus_pipeline
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.train(docs)
+    foreign = spark.createDataFrame([(-1, "これは日本語の文章です。東京都に住んでいます。" * 5), (-2, "Это русский текст, написанный для проверки. " * 5),
+                                     (-3, "한국어로 쓴 글입니다. " * 9)], "doc_id long, text string")
+    assert langid.accepted(foreign, model).count() == 0
+    extra = docs.unionByName(foreign, allowMissingColumns=True)
+    kept = corpus_pipeline.drop_unknown_language(spark, extra, sf)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert ids == {r["doc_id"] for r in docs.select("doc_id").collect()}     # clean ones all stay, foreign ones go
+    few = langid.accepted(docs, model, ("de", "fr")).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in few if r["count"] > 3}.keys() == {"de", "fr"}
+    sure = langid.accepted(docs, model, least=0.9)
+    assert 0 < sure.count() < docs.count() and sure.columns == docs.columns
+
+
+def test_language_margins_equal_plain_loops(spark):
+    """Margins and votes of the trained arrays, word by word and gram by gram."""
+    import io
+    from ledgerline.llm.common import subwords
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(docs)
+    held = np.load(io.BytesIO(model))
+    weights, names, machines = held["weights"], held["names"].tolist(), held["machines"].tolist()
+    bits = int(weights.shape[0]).bit_length() - 1
+    some = docs.where("doc_id % 9 = 0 AND text IS NOT NULL")
+    told = {r["doc_id"]: r for r in langid.predict(some.drop("lang"), model).collect()}
+    for r in some.collect():
+        if not regex.search(r"\p{L}", r["text"]):
+            continue
+        margins = []
+        words = r["text"].lower().split()
+        for k in range(len(machines)):
+            total = 0.0
+            for w in words:
+                grams, _ = subwords([w], langid.SIZES, bits)
+                total += float(np.mean([weights[g, k] for g in grams])) if len(grams) else 0.0
+            margins.append(total / len(words) + float(held["biases"][k]))
+        margin = dict(zip(machines, margins))
+        kinds = sorted({langid.family_of(x) for x in names})
+        kind = max(kinds, key=lambda f: margin[f"family {f}"]) if len(kinds) > 1 else kinds[0]
+        members = [x for x in names if langid.family_of(x) == kind]
+        votes, sums = dict.fromkeys(members, 0), dict.fromkeys(members, 0.0)
+        for i, a in enumerate(members):
+            for b in members[i + 1:]:
+                m = margin[f"pair {a} {b}"]
+                votes[a if m >= 0 else b] += 1
+                sums[a] += m
+                sums[b] -= m
+        best = max(members, key=lambda x: votes[x] + 0.4 * np.tanh(sums[x]) / len(members))
+        assert told[r["doc_id"]]["lang_pred"] == best, r["text"][:80]
+
+
 def test_oracles_match(spark):
     import duckdb
 
     from ledgerline.llm.queries import ORACLES, QUERIES
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("embeddings", "conversations"):
+    for t in ("embeddings", "conversations", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS FROM '{sf}/{t}.parquet'")
     for name, sql in ORACLES.items():
         df = QUERIES[name](spark, sf)
         res = con.execute(sql)
         assert df.columns == [d[0] for d in res.description]
-        assert sorted(map(tuple, df.collect())) == sorted(res.fetchall())
+        assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, res.fetchall()))
+
+
+def test_ranked_encoding_gives_the_ids_of_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+    t = tokenizer()
+    ranked = packing.ranked_encoding(t)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if r["text"]]
+    texts += [x for _, x, _ in ODD if x] + ["a　b  c", "̀x", "1²½", "\x00\x7f", "it's we'll I'M", "\r\n\r\n  x \t", "🏳️‍🌈🇩🇪"]
+    for text in texts:
+        assert ranked.encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
+    assert packing.ranked_encoding(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))) is None
+
+
+def test_packing_encodes_whole_texts_as_the_tokenizer_does(spark):
+    t = tokenizer()
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    texts = [r["text"] or "" for r in rows] + [x or "" for _, x, _ in ODD] + [
+        "a, b.", "x.. y!? z", "¾. ²! é,", "end ", " lead", "  two", "word.\nnext, line", "(a). 'b'; c:", "a . b", "日本. 語,", "ń. m"]
+    for packer in (packing.Packer(public_tokenizers.path("byte_bpe_50k.json"), 2048, 1, (0, 16, 48), 96) for _ in range(2)):
+        got = packer.encode(pa.array(texts, pa.string()))
+        assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+        packer.ranked = None                                    # by the tokenizer itself
+        packer.words._clear()
+        got = packer.encode(pa.array(texts, pa.string()))
+        assert [x.tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+    assert packer.encode(pa.array([], pa.string())) == []
+
+
+def test_order_buckets_stay_small_with_one_far_id_and_many_null_ids(spark):
+    from ledgerline.llm.common import order_buckets
+    n, per = 20_000, 100
+    ids = spark.range(n).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") == 1, 10 ** 15).otherwise(F.col("id")).alias("doc_id"),
+                                F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    rows = ids.withColumn("bucket", order_buckets(ids, per)).withColumn("tie", F.xxhash64("text"))
+    sizes = [r["count"] for r in rows.groupBy("bucket").count().collect()]
+    assert max(sizes) <= 4 * per and len(sizes) > n / per / 4
+    ends = rows.where("doc_id IS NOT NULL").groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).orderBy("bucket").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:])) and ends[0]["bucket"] >= 0
+    ends = rows.where("doc_id IS NULL").groupBy("bucket").agg(F.min("tie").alias("lo"), F.max("tie").alias("hi")).orderBy("bucket").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:])) and ends[-1]["bucket"] == -1
+
+
+def test_winnowing_of_a_very_long_text(documents):
+    """Pieces of pieces: the same selection as by small ones, far from the start too."""
+    random.seed(9)
+    rows = [(1, "".join(random.choice("abcdefgh ") for _ in range(400_000)), "en"), (2, "z" * 300_000, "en")]
+    df = documents(rows).withColumn("chars", winnow.without_space(F.col("text")))
+    got = df.select("doc_id", winnow.selection(F.col("chars")).alias("a"), winnow.selection(F.col("chars"), (1 << 14,)).alias("b"),
+                    F.length("chars").alias("n"))
+    r = {x["doc_id"]: x for x in got.select("doc_id", "n", (F.col("a") == F.col("b")).alias("same"), F.size("a").alias("k")).collect()}
+    assert all(x["same"] for x in r.values())
+    assert 2 * r[1]["n"] / 17 * 0.9 < r[1]["k"] < 2 * r[1]["n"] / 17 * 1.1
+    assert r[2]["k"] == 300_000 - 30                    # equal hashes: the rightmost of every window
+
+
+def test_stray_and_open_tags_cost_no_search():
+    import time
+    began = time.process_time()
+    broken = "<div>" * 50_000 + "text" + "</section>" * 50_000 + "</nav></p></article>" * 1000
+    assert pages.page_lines(broken) == [("text", pages.OTHER)]
+    assert time.process_time() - began < 5
+
+
+def test_the_head_of_an_article_is_text_if_it_holds_a_heading():
+    kept = lambda html: pages.main_text(pages.page_lines(html), [])[0].split("\n\n")
+    assert kept("<header><h1>Site</h1></header><article><header><h1>Title</h1><p>By A</p></header><p>Body</p></article>") == ["Title", "By A", "Body"]
+    assert kept("<article><header><p>menu words</p></header><p>Body</p><header><h2>More</h2></header></article>") == ["Body", "More"]
+    assert kept("<article><header class='banner'><h1>Ad</h1></header><p>Body</p></article>") == ["Body"]
+    assert kept("<article><header><h1>Never closed<p>Body</article>") == ["Never closed", "Body"]
+    assert kept("<main><header>x<header><h2>T</h2></header>y</header>z</main>") == ["x", "T", "y", "z"]
+
+
+def test_alignment_decides_before_the_place_in_the_page():
+    page = [("menu", pages.FURNITURE), ("shared", pages.OTHER), ("own", pages.OTHER), ("copied", pages.ARTICLE), ("ad 7", pages.FURNITURE)]
+    assert pages.main_text(page, [hash(x) for x in ("menu", "shared", "copied")]) == ("own\n\ncopied", 3, 1)
