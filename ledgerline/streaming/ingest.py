@@ -87,6 +87,8 @@ def ingest_available(spark: SparkSession, landing_glob: str, target_path: str, c
     profile and the join read that Parquet.
     Unique ids take the join without a shuffle; a repeated id fails the
     batch unless ``on_duplicate_ids="join"`` (relational join, rows multiply).
+    Progress is kept in ``checkpoint_path`` (pages) and beside it, in ``<checkpoint_path>_keys`` (keys
+    and their state); the two belong together.
     ``progress`` gets (query, input rows) of every micro-batch of the two queries.
     """
     batches: list[int] = []
