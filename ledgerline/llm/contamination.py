@@ -104,7 +104,9 @@ class Block:
         self.item, self.place = owner[searched], place[searched]
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[_slot(keys[searched[self.rest >= _STEP]])] = True
-        self.short = {int(n): np.unique(keys[searched[self.rest == n]]) for n in np.unique(self.rest[self.rest < _STEP])}
+        # Windows of fewer words than a key begin with these.
+        few = np.unique(self.need[(self.need > 0) & (self.need < _STEP)])
+        self.short = {int(n): np.unique(_cut(keys[searched[self.need == n]], n)) for n in few}
 
     def numbers(self, words: pa.Array) -> np.ndarray:
         """Block number of each distinct word, 0 where no item has it."""

@@ -89,6 +89,8 @@ class Part:
     def first(self, x: np.ndarray, kept: int) -> np.ndarray:
         """State from the distances to all entries."""
         out = np.zeros(len(x), state_type(kept))
+        if len(self.book) == 1:                          # nothing to choose from
+            return out
         if self.plain:
             d = self.all_distances(x)
             out["entry"] = [min(range(len(r)), key=lambda k: (r[k], k)) for r in d]
@@ -275,7 +277,7 @@ def compress(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", la
             removed(table)
         total = {r["at"]: int(r["x"]) for r in totals}
         flat = [total[i] for i in range(len(total))]
-        n_counts, n_needs = parts * len(start), (KEPT if was is None else kept) + 2
+        n_counts, n_needs = parts * len(start), (KEPT if was is None else was) + 2
         counts = np.array(flat[:n_counts]).reshape(parts, len(start))
         needs, added = flat[n_counts:n_counts + n_needs], flat[n_counts + n_needs:]
         size = len(start) * dim
